@@ -21,3 +21,14 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def plan_of():
+    """Formatted physical plan as text."""
+
+    def plan(df):
+        explain = df.sparkSession._jvm.PythonSQLUtils.explainString
+        return explain(df._jdf.queryExecution(), "formatted")
+
+    return plan

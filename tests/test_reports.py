@@ -1,0 +1,155 @@
+"""Report results in corner cases, and the plans of stored tables."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from txrisk.checks.cases import streamed
+from txrisk.checks.fixtures import Fixture
+from txrisk.plans import panels, reports
+from txrisk.schemas import TABLES, Tables
+from txrisk.sources.tables import read_tables
+
+AS_OF = datetime(2024, 1, 30, 23, 26, 16, 220708)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return Tables(**{n: spark.createDataFrame([], t.contract) for n, t in TABLES.items()})
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    return read_tables(spark, streamed(Fixture(spark, "/root/testdata/sf0.001")))
+
+
+def facts(spark, rows):
+    return spark.createDataFrame(
+        rows, "transaction_id STRING, country STRING, amount INT, ingested_at TIMESTAMP"
+    ).withColumn("amount", F.col("amount").cast("decimal(14,2)"))
+
+
+def test_empty_tables(empty):
+    assert tuple(reports.overview(empty).first()) == (0, 0, 0, 0, None)
+    assert tuple(panels.headline_cards(reports.overview(empty)).first()) == (0, 0, 0, 0, "0.00%")
+    assert tuple(reports.pipeline_totals(empty).first()) == (0, 0, 0, None)
+    cards = panels.pipeline_cards(reports.pipeline_totals(empty))
+    assert tuple(cards.first()) == (0, 0, 0, "—")
+    for report in (
+        reports.alerts_by_reason(empty.fraud_alerts),
+        reports.activity_per_minute(empty.transactions, empty.fraud_alerts),
+        reports.alert_log(empty.fraud_alerts),
+        panels.volume_by_country(reports.recent_transactions(empty.transactions)),
+    ):
+        assert report.isEmpty()
+
+
+def test_rate_counts_every_alert_and_activity_does_not(spark):
+    now = datetime(2024, 1, 1, 12, 0)
+    t = facts(spark, [("a", "FR", 1, now), ("b", "FR", 1, now), ("a", "FR", 1, now)])
+    alerts = spark.createDataFrame([("a",), ("a",), ("c",)], "transaction_id STRING")
+    # a joins 2 x 2 rows and b one without an alert: 4 of 5
+    assert reports.fraud_rate(t, alerts, now).first().fraud_rate_pct == 80.0
+    row = reports.activity_per_minute(t, alerts, now).first()
+    assert (row.total, row.fraud) == (3, 2)
+
+
+def test_alerts_of_any_age_count(spark):
+    now, old = datetime(2024, 1, 2, 12, 0), datetime(2020, 1, 1)
+    t = facts(spark, [("a", "FR", 1, now), ("b", "FR", 1, old)])
+    alerts = spark.createDataFrame(
+        [("a", old), ("b", now)], "transaction_id STRING, ingested_at TIMESTAMP"
+    )
+    assert reports.fraud_rate(t, alerts, now).first().fraud_rate_pct == 100.0
+
+
+def test_null_country_is_a_group_of_alerts_but_has_no_volume(spark):
+    now = datetime(2024, 1, 1)
+    t = facts(spark, [("a", None, 5, now), ("b", "FR", None, now), ("c", "US", 7, now)])
+    by_country = {r.country: r.n for r in reports.alerts_by_country(t, now).collect()}
+    assert by_country == {None: 1, "FR": 1, "US": 1}
+    volumes = [tuple(r) for r in panels.volume_by_country(t).collect()]
+    assert volumes == [("US", 7.0), ("FR", 0.0)]
+
+
+def test_status_filter_comes_after_the_limit(spark, empty):
+    now = datetime(2024, 1, 1)
+    rows = [(i, f"t{i:03d}", "HIGH_AMOUNT", now, i >= 200) for i in range(300)]
+    alerts = spark.createDataFrame(
+        rows,
+        "id BIGINT, transaction_id STRING, fraud_reason STRING, ingested_at TIMESTAMP, acknowledged BOOLEAN",
+    )
+    log = reports.alert_log(empty.fraud_alerts.unionByName(alerts, allowMissingColumns=True))
+    assert panels.with_status(log, "All").count() == 200
+    assert panels.with_status(log, "Acknowledged").count() == 0
+    assert panels.with_status(log, "Unacknowledged").count() == 200
+
+
+def test_unknown_rule_sign(spark):
+    df = spark.createDataFrame([("OTHER",)], "fraud_reason STRING")
+    from txrisk.functions.display import signed_rule
+
+    assert df.select(signed_rule()).first()[0] == "⚪ OTHER"
+
+
+@pytest.mark.parametrize(
+    "report, columns",
+    [
+        (lambda t: reports.count_recent(t.transactions, AS_OF), "ingested_at:timestamp"),
+        (
+            lambda t: reports.alerts_by_reason(t.fraud_alerts, AS_OF),
+            "fraud_reason:string,ingested_at:timestamp",
+        ),
+        (
+            lambda t: reports.top_users(t.fraud_alerts, AS_OF),
+            "user_id:string,amount:decimal(14,2),ingested_at:timestamp",
+        ),
+        (lambda t: reports.ingest_rate(t.transactions, AS_OF), "ingested_at:timestamp"),
+        (
+            lambda t: reports.fraud_rate(t.transactions, t.fraud_alerts, AS_OF),
+            "transaction_id:string,ingested_at:timestamp",
+        ),
+    ],
+)
+def test_periods_prune_days_rows_and_columns(stored, plan_of, report, columns):
+    plan = plan_of(report(stored))
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan
+    assert "GreaterThanOrEqual(ingested_at" in plan
+    assert f"ReadSchema: struct<{columns}>" in plan
+
+
+def test_alert_side_of_the_joins_reads_ids_only(stored, plan_of):
+    for report in (
+        reports.fraud_rate(stored.transactions, stored.fraud_alerts, AS_OF),
+        reports.activity_per_minute(stored.transactions, stored.fraud_alerts, AS_OF),
+    ):
+        plan = plan_of(report)
+        assert "ReadSchema: struct<transaction_id:string>" in plan
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_top_groups_are_not_fully_sorted(stored, plan_of):
+    assert "TakeOrderedAndProject" in plan_of(reports.top_users(stored.fraud_alerts, AS_OF))
+
+
+def test_totals_read_no_columns(stored, plan_of):
+    plan = plan_of(reports.row_count(stored.transactions))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_reports_on_stored_tables_equal_those_without_layout(stored):
+    plain = Tables(*[df.drop("ingest_date", "batch_id") for df in stored])
+    pairs = [
+        (reports.overview(stored, AS_OF), reports.overview(plain, AS_OF)),
+        (reports.alert_log(stored.fraud_alerts), reports.alert_log(plain.fraud_alerts)),
+        (reports.raw_preview(stored.transactions), reports.raw_preview(plain.transactions)),
+        (reports.pipeline_totals(stored), reports.pipeline_totals(plain)),
+    ]
+    for left, right in pairs:
+        assert left.collect() == right.collect()
+
+
+def test_share_sums_to_the_whole(stored):
+    shares = panels.with_share(reports.alerts_by_reason(stored.fraud_alerts, AS_OF), "n")
+    assert shares.agg(F.sum("pct")).first()[0] == pytest.approx(100, abs=0.01)

@@ -1,0 +1,90 @@
+"""Split into facts, alerts and rejects, and the stored columns."""
+
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from txrisk.checks.fixtures import Fixture
+from txrisk.functions import rules
+from txrisk.operators import routing
+from txrisk.schemas import DLQ_MESSAGES, FRAUD_ALERTS, TABLES, TRANSACTIONS
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def fixture(spark):
+    return Fixture(spark, SF_DIR)
+
+
+def with_amounts(spark, amounts):
+    rows = [(str(i), "u", a) for i, a in enumerate(amounts)]
+    return spark.createDataFrame(rows, "transaction_id STRING, user_id STRING, amount DOUBLE")
+
+
+def test_split_is_a_partition(fixture):
+    parsed = fixture.parsed
+    facts, rejects = routing.facts(parsed), routing.rejects(parsed)
+    assert facts.count() + rejects.count() == parsed.count()
+    assert facts.select("kafka_offset").intersect(rejects.select("kafka_offset")).isEmpty()
+
+
+def test_alerts_are_facts_with_a_reason(fixture):
+    scored = routing.scored(fixture.parsed)
+    by_rule = scored.filter(rules.any_rule()).select("kafka_offset")
+    alerts = routing.alerts(fixture.parsed).select("kafka_offset")
+    assert alerts.exceptAll(by_rule).isEmpty() and by_rule.exceptAll(alerts).isEmpty()
+    assert alerts.exceptAll(routing.facts(fixture.parsed).select("kafka_offset")).isEmpty()
+
+
+def test_contract_violation_is_a_missing_id(fixture):
+    violating = fixture.parsed.filter(routing.violates(TRANSACTIONS))
+    assert violating.count() == fixture.parsed.filter(routing.lacks_ids()).count() > 0
+
+
+def test_overflow_is_rejected_and_nan_is_not(spark):
+    df = with_amounts(spark, [1e13, -1e13, float("inf"), float("nan"), None, 999999999999.99, 1.0])
+    got = [r[0] for r in df.select(routing.error_type()).collect()]
+    assert got == [routing.AMOUNT_OVERFLOW] * 3 + [None] * 4
+    assert routing.facts(df).count() == 4
+
+
+def test_missing_id_comes_before_overflow(spark):
+    df = spark.createDataFrame(
+        [(None, "u", 1e13)], "transaction_id STRING, user_id STRING, amount DOUBLE"
+    )
+    assert df.select(routing.error_type()).first()[0] == routing.SCHEMA_VIOLATION
+
+
+def test_stored_amount_rounds_half_up(spark):
+    df = with_amounts(spark, [2.675, 0.125, -0.125, 3.0])
+    got = [r[0] for r in df.select(routing.stored_amount()).collect()]
+    assert got == [Decimal("2.68"), Decimal("0.13"), Decimal("-0.13"), Decimal("3.00")]
+
+
+@pytest.mark.parametrize("table", TABLES.values(), ids=lambda t: t.name)
+def test_stored_rows_have_the_declared_schema(fixture, table):
+    rows = routing.stored_rows(routing.split(fixture.parsed)[table.name], table, 7)
+    assert rows.dtypes == [(f.name, f.dataType.simpleString()) for f in table.stored]
+    assert rows.filter("batch_id <> 7 OR ingest_date <> to_date(ingested_at)").isEmpty()
+    for required in table.required:
+        assert rows.filter(F.col(required).isNull()).isEmpty()
+
+
+def test_alert_defaults(fixture):
+    alerts = routing.with_defaults(routing.alerts(fixture.parsed), FRAUD_ALERTS)
+    assert [tuple(r) for r in alerts.select("acknowledged", "notes").distinct().collect()] == [
+        (False, None)
+    ]
+
+
+def test_sent_columns_of_each_sink():
+    assert len(TRANSACTIONS.sent) == 12 and "velocity_flag" in TRANSACTIONS.sent
+    assert len(FRAUD_ALERTS.sent) == 12 and "velocity_flag" not in FRAUD_ALERTS.sent
+    assert DLQ_MESSAGES.sent == ["kafka_offset", "kafka_partition", "error_type", "ingested_at"]
+
+
+def test_scoring_does_not_shuffle(fixture, plan_of):
+    for rows in routing.split(fixture.parsed).values():
+        assert "Exchange" not in plan_of(rows)

@@ -50,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
         sink = jdbc_sink(args.jdbc_url, properties)
     options = dict(option.split("=", 1) for option in args.source_option)
     raw = topic_stream(spark, args.servers, args.topic, **options)
-    run(start(raw, sink, args.checkpoint))
+    run(spark, start(raw, sink, args.checkpoint))
 
 
 if __name__ == "__main__":

@@ -380,12 +380,13 @@ DAY_RATE_SQL = RATE_SQL.format(since("24 hours"))
 
 @case(
     "prj_16_null_to_zero",
-    "SELECT kafka_offset, coalesce(user_id, '0') AS user_or_zero FROM parsed",
+    """SELECT kafka_offset,
+              coalesce(CASE WHEN user_id IS NOT NULL THEN kafka_offset END, 0) AS accepted
+       FROM parsed""",
 )
 def _(f: Fixture) -> DataFrame:
-    return f.parsed.select(
-        "kafka_offset", F.coalesce("user_id", F.lit(0).cast("string")).alias("user_or_zero")
-    )
+    accepted = F.when(F.col("user_id").isNotNull(), F.col("kafka_offset"))
+    return f.parsed.select("kafka_offset", display.or_zero(accepted).alias("accepted"))
 
 
 @case(
@@ -718,10 +719,10 @@ def _(f: Fixture) -> DataFrame:
 
 @case(
     "top_01_sort_by_count",
-    "SELECT fraud_reason, count(*) AS n FROM fraud_alerts GROUP BY fraud_reason ORDER BY n DESC",
+    "SELECT merchant, count(*) AS n FROM fraud_alerts GROUP BY merchant ORDER BY n DESC",
 )
 def _(f: Fixture) -> DataFrame:
-    return ranking.ranked(ranking.counts_by(f.alerts, "fraud_reason"), "n", "fraud_reason")
+    return ranking.ranked(ranking.counts_by(f.alerts, "merchant"), "n", "merchant")
 
 
 @case(
@@ -894,10 +895,9 @@ def _(f: Fixture) -> DataFrame:
 
 @case(
     "flagship_alerts_by_reason",
-    """SELECT fraud_reason, count(*) AS n FROM flagged GROUP BY fraud_reason
+    """SELECT fraud_reason, count(*) AS n FROM fraud_alerts GROUP BY fraud_reason
        ORDER BY n DESC, fraud_reason""",
 )
 def flagship(f: Fixture) -> DataFrame:
-    """Validate, score and count per reason."""
-    by_reason = ranking.counts_by(routing.alerts(f.parsed), "fraud_reason")
-    return ranking.ranked(by_reason, "n", "fraud_reason")
+    """Validate and score all messages, count the alerts per reason."""
+    return ranking.ranked(ranking.counts_by(f.alerts, "fraud_reason"), "n", "fraud_reason")

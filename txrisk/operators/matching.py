@@ -3,9 +3,11 @@
 The id is not unique on either side, and alerts of any age count. Both sides
 are therefore reduced to one row per id before they meet: the partial counts
 run before the shuffle, so an id that holds a large share of the rows costs one
-row per task, and no pair of rows is ever formed. The transaction side is
-limited in time, hence the small one; it is hashed per shuffle partition and
-the alert side streams past it unsorted.
+row per task, and no pair of rows is ever formed. Spark picks the join by the
+sizes it meets at run time.
+
+When the transactions are those of a short period, alerts that cannot match are
+best dropped where they are read, before the shuffle (:func:`may_match`).
 """
 
 from __future__ import annotations
@@ -15,6 +17,39 @@ from pyspark.sql import functions as F
 
 ID = "transaction_id"
 
+# Bits in the table of transaction ids. At 64 bits a row it has at most about a
+# million rows of two integers, whatever the number of ids.
+SLOTS = 1 << 26
+
+
+def _slot() -> tuple[Column, Column]:
+    """Row and bit of an id in the table."""
+    slot = F.pmod(F.xxhash64(ID), F.lit(SLOTS))
+    return F.shiftright(slot, 6), (slot % 64).cast("int")
+
+
+def id_bits(transactions: DataFrame) -> DataFrame:
+    """The ids as a bit table of bounded size: each id sets one bit."""
+    word, bit = _slot()
+    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return transactions.groupBy(word.alias("word")).agg(F.bit_or(set_bit).alias("mask"))
+
+
+def may_match(alerts: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Ids of the alerts that may have a partner among the transactions.
+
+    An alert whose bit is not set has none; one whose bit is set may or may not
+    have one, which the join that follows decides. The more ids the
+    transactions have, the fewer alerts are dropped; the table does not grow.
+    """
+    word, bit = _slot()
+    return (
+        alerts.select(ID, word.alias("word"))
+        .join(F.broadcast(id_bits(transactions)), "word")
+        .filter(F.bit_get("mask", bit) == 1)
+        .select(ID)
+    )
+
 
 def alert_counts(alerts: DataFrame) -> DataFrame:
     """Alerts per transaction id."""
@@ -38,7 +73,6 @@ def joined_counts(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
     alerts_or_zero = F.coalesce("alerts", F.lit(0)).cast("double")
     return (
         transaction_counts(transactions)
-        .hint("shuffle_hash")
         .join(alert_counts(alerts), ID, "left")
         .select(
             ID,
@@ -54,7 +88,6 @@ def marked_counts(transactions: DataFrame, alerts: DataFrame, **keys: Column) ->
     alerted_ids = alerts.select(ID).distinct().withColumn("alerted", F.lit(True))
     return (
         transaction_counts(transactions, **keys)
-        .hint("shuffle_hash")
         .join(alerted_ids, ID, "left")
         .withColumn("alerted", F.coalesce("alerted", F.lit(False)))
     )

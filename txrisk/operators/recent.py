@@ -63,7 +63,15 @@ def newest_days(df: DataFrame, n: int) -> Column:
 
 
 def latest(df: DataFrame, n: int, *tie_breakers: str) -> DataFrame:
-    """The ``n`` rows ingested last, rows without a time first."""
+    """The ``n`` rows ingested last, rows without a time first.
+
+    Only the time is read from the newest days to find where the ``n`` rows
+    begin; the other columns are read from there on.
+    """
     if DAY in df.columns:
         df = df.filter(F.col(DAY).isNull() | (F.col(DAY) >= newest_days(df, n)))
-    return df.orderBy(F.col("ingested_at").desc_nulls_first(), *tie_breakers).limit(n)
+    time = F.col("ingested_at")
+    newest = df.select(time).orderBy(time.desc_nulls_first()).limit(n)
+    begin = newest.agg(F.min(time)).scalar()
+    rows = df.filter(time.isNull() | (time >= begin))
+    return rows.orderBy(time.desc_nulls_first(), *tie_breakers).limit(n)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.functions.parse import transactions
@@ -66,10 +66,10 @@ def start(
     )
 
 
-def run(query: StreamingQuery) -> None:
+def run(spark: SparkSession, query: StreamingQuery) -> None:
     """Wait until any query of the session ends, then stop this one. The error
     of a failed query is raised."""
     try:
-        query.sparkSession.streams.awaitAnyTermination()
+        spark.streams.awaitAnyTermination()
     finally:
         query.stop()

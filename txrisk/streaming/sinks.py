@@ -28,20 +28,23 @@ def log_count(seen: Observation, table: Table, batch_id: int) -> None:
         log.info("batch %d: %d rows to %s", batch_id, rows, table.name)
 
 
-def parquet_sink(root: str) -> Sink:
+def parquet_sink(root: str, rebalance: bool = True) -> Sink:
     """Files under ``root``, one directory per day and batch.
 
     A batch overwrites its own directories only, so a batch that is retried
-    after a failure replaces what the first try left. The rebalance lets Spark
-    choose the number of files by size: a small batch gives one file per day
-    however many tasks read it, a large one is split evenly.
+    after a failure replaces what the first try left. With ``rebalance`` Spark
+    chooses the number of files by size: a small batch gives one file per day
+    however many tasks read it, a large one is split evenly. Without it there
+    is no shuffle, and each task writes its own file; this suits a backfill
+    whose tasks are large already.
     """
 
     def write(rows: DataFrame, table: Table, batch_id: int) -> None:
         stored, seen = counted(stored_rows(rows, table, batch_id))
+        if rebalance:
+            stored = stored.hint("rebalance", "ingest_date")
         (
-            stored.hint("rebalance", "ingest_date")
-            .write.mode("overwrite")
+            stored.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*LAYOUT)
             .parquet(f"{root}/{table.name}")
