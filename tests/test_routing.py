@@ -1,5 +1,6 @@
 """Split into facts, alerts and rejects, and the stored columns."""
 
+import math
 from decimal import Decimal
 
 import pytest
@@ -50,6 +51,16 @@ def test_overflow_is_rejected_and_nan_is_not(spark):
     assert routing.facts(df).count() == 4
 
 
+def test_overflow_is_what_the_stored_type_refuses(spark):
+    edge = routing.OVERFLOW
+    near = [edge, math.nextafter(edge, 0), math.nextafter(edge, math.inf), 1e12 - 0.01, 1e12]
+    amounts = [s * a for a in near + [0.0, 1e308, math.inf, 5e-324] for s in (1, -1)]
+    df = with_amounts(spark, amounts).select(
+        routing.amount_overflows().alias("overflows"), routing.stored_amount().alias("stored")
+    )
+    assert all(r.overflows == (r.stored is None) for r in df.collect())
+
+
 def test_missing_id_comes_before_overflow(spark):
     df = spark.createDataFrame(
         [(None, "u", 1e13)], "transaction_id STRING, user_id STRING, amount DOUBLE"

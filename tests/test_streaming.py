@@ -20,7 +20,7 @@ from txrisk.sources.tables import (
     register,
     run_query,
 )
-from txrisk.streaming.job import run, start
+from txrisk.streaming.job import batch_writer, run, start
 from txrisk.streaming.sinks import parquet_sink
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -209,3 +209,48 @@ def test_sql_on_registered_tables(spark, source, expected, tmp_path):
     assert got.first().n == expected["fraud_alerts"].filter("amount > 9000").count()
     with pytest.raises(Exception, match="no_such_column"):
         run_query(spark, "SELECT no_such_column FROM fraud_alerts")
+
+
+NOTHING = {
+    "transactions": "user_id IS NULL",
+    "fraud_alerts": "amount < 1 AND NOT velocity_flag",
+    "dlq_messages": "user_id IS NOT NULL",
+}
+
+
+@pytest.mark.parametrize("rebalance", [True, False])
+@pytest.mark.parametrize("name", TABLES)
+@pytest.mark.parametrize("cached", [True, False])
+def test_batch_without_rows_for_a_table(spark, tmp_path, name, rebalance, cached):
+    parsed = parse.transactions(Fixture(spark, SF_DIR).raw, stamp()).filter(NOTHING[name])
+    parsed = parsed.repartition(3)
+    root = str(tmp_path / "tables")
+    create_tables(spark, root)
+    if cached:
+        parsed = parsed.persist()
+    write = parquet_sink(root, rebalance)
+    parts = routing.split(parsed)
+    for table in TABLES.values():
+        write(parts[table.name], table, 0)
+    stored = read_tables(spark, root)._asdict()
+    assert stored[name].isEmpty()
+    assert all(stored[n].count() == parts[n].count() for n in TABLES)
+
+
+def test_empty_batch(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    create_tables(spark, root)
+    parsed = parse.transactions(Fixture(spark, SF_DIR).raw, stamp())
+    for nothing in (parsed.limit(0), parsed.filter("kafka_offset < 0").persist()):
+        batch_writer(parquet_sink(root))(nothing, 0)
+    assert all(df.isEmpty() for df in read_tables(spark, root))
+
+
+def test_stream_without_rejects(spark, tmp_path):
+    source, root = str(tmp_path / "source"), str(tmp_path / "tables")
+    Fixture(spark, SF_DIR).raw.filter("offset % 33 <> 0").repartition(2).write.parquet(source)
+    create_tables(spark, root)
+    start(
+        messages(spark, source), parquet_sink(root), str(tmp_path / "cp"), available_now=True
+    ).awaitTermination()
+    assert [df.count() for df in read_tables(spark, root)][::2] == [969, 0]

@@ -365,10 +365,10 @@ def _(f: Fixture) -> DataFrame:
 
 
 RATE_SQL = """(
-    SELECT CAST(round(100.0 * count(*) FILTER (WHERE fa.id IS NOT NULL)
-                      / nullif(count(*), 0), 2) AS DOUBLE)
-    FROM transactions t LEFT JOIN fraud_alerts fa USING (transaction_id)
-    WHERE t.{0})"""
+    SELECT CASE WHEN count(*) > 0
+                THEN CAST(round(count(a.transaction_id) * 100.0 / count(*), 2) AS DOUBLE) END
+    FROM (SELECT * FROM transactions WHERE {0}) AS recent
+    LEFT JOIN fraud_alerts AS a ON a.transaction_id = recent.transaction_id)"""
 OVERVIEW_SQL = f"""
     (SELECT count(*) FROM transactions WHERE {since("1 hour")}) AS tx_last_hour,
     (SELECT count(*) FROM fraud_alerts WHERE {since("1 hour")}) AS fraud_last_hour,
@@ -518,10 +518,9 @@ status_case("Acknowledged", "acknowledged = true")
 
 @case(
     "flt_13_membership",
-    """SELECT count(*) AS total,
-              count(*) FILTER (WHERE transaction_id IN
-                  (SELECT transaction_id FROM fraud_alerts)) AS alerted
-       FROM transactions""",
+    """SELECT count(*) AS total, count(CASE WHEN marked THEN 1 END) AS alerted
+       FROM (SELECT transaction_id IN (SELECT transaction_id FROM fraud_alerts) AS marked
+             FROM transactions) AS t""",
 )
 def _(f: Fixture) -> DataFrame:
     marked = matching.marked_counts(f.transactions, f.alerts)
@@ -534,10 +533,11 @@ def _(f: Fixture) -> DataFrame:
 
 @case(
     "jon_01_left_join_counts",
-    """SELECT transaction_id, CAST(count(fa.id) AS DOUBLE) AS matched,
+    """SELECT t.transaction_id, CAST(count(a.transaction_id) AS DOUBLE) AS matched,
               CAST(count(*) AS DOUBLE) AS joined
-       FROM transactions t LEFT JOIN fraud_alerts fa USING (transaction_id)
-       GROUP BY transaction_id""",
+       FROM transactions AS t
+       LEFT JOIN fraud_alerts AS a ON a.transaction_id = t.transaction_id
+       GROUP BY t.transaction_id""",
 )
 def _(f: Fixture) -> DataFrame:
     return matching.joined_counts(f.transactions, f.alerts)
@@ -615,10 +615,12 @@ def _(f: Fixture) -> DataFrame:
 
 
 ACTIVITY_SQL = f"""
-    SELECT date_trunc('minute', ingested_at) AS minute, count(*) AS total,
-           count(*) FILTER (WHERE transaction_id IN
-               (SELECT transaction_id FROM fraud_alerts)) AS fraud
-    FROM transactions WHERE {since("30 minutes")} GROUP BY 1 ORDER BY 1"""
+    SELECT minute, count(*) AS total,
+           count(CASE WHEN alerted THEN 1 END) AS fraud
+    FROM (SELECT date_trunc('minute', ingested_at) AS minute,
+                 transaction_id IN (SELECT transaction_id FROM fraud_alerts) AS alerted
+          FROM transactions WHERE {since("30 minutes")}) AS marked
+    GROUP BY minute ORDER BY minute"""
 
 
 @case("agg_09_activity_per_minute", ACTIVITY_SQL)

@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions.rules import fraud_reason
-from txrisk.operators.routing import has_ids, sent_columns, split, with_defaults
+from txrisk.operators.routing import (
+    alerts,
+    facts,
+    has_ids,
+    rejects,
+    sent_columns,
+    with_defaults,
+)
 from txrisk.schemas import MESSAGE, POSITION, TABLES, Tables
 from txrisk.session import scratch_dir
 from txrisk.sources.messages import file_stream
@@ -27,33 +34,31 @@ CARD_TYPES = ["visa", "mastercard", "amex", "discover"]
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def pick(values: list[str], number: str) -> Column:
-    items = F.array(*map(F.lit, values))
-    return F.element_at(items, (F.col(number) % len(values) + 1).cast("int"))
+def pick(values: list[str], number: str) -> str:
+    """SQL for the list item a number selects."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({items}), cast({number} % {len(values)} + 1 AS int))"
 
 
 def parsed_events(events: DataFrame) -> DataFrame:
-    """Events as parsed messages; every 33rd one lacks its user id."""
-    event_id = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
-    network = F.when(k == 85, F.lit("185.")).otherwise(F.lit("10."))
-    return events.select(
-        (event_id % 3).cast("int").alias("kafka_partition"),
-        event_id.alias("kafka_offset"),
-        event_id.cast("string").alias("transaction_id"),
-        F.when(event_id % 33 != 0, F.concat(F.lit("user_"), F.col("user_id").cast("string"))).alias(
-            "user_id"
-        ),
-        (F.col("value") * 50).cast("decimal(14,2)").cast("double").alias("amount"),
-        pick(CURRENCIES, "event_id").alias("currency"),
-        pick(MERCHANTS, "event_id").alias("merchant"),
-        pick(COUNTRIES, "user_id").alias("country"),
-        pick(CARD_TYPES, "event_id").alias("card_type"),
-        F.lpad((event_id % 10000).cast("string"), 4, "0").alias("card_last4"),
-        F.concat(network, (event_id % 255).cast("string"), F.lit(".0.1")).alias("ip_address"),
-        (k < 4).alias("velocity_flag"),
-        F.col("ts").alias("timestamp"),
-        F.col("ts").alias("ingested_at"),
+    """Events as parsed messages; every 33rd one lacks its user id. Amounts are
+    whole or half units, so no rounding mode can change them."""
+    k = "cast(get_json_object(props, '$.k') AS int)"
+    return events.selectExpr(
+        "cast(event_id % 3 AS int) AS kafka_partition",
+        "event_id AS kafka_offset",
+        "cast(event_id AS string) AS transaction_id",
+        "CASE WHEN event_id % 33 <> 0 THEN concat('user_', user_id) END AS user_id",
+        "rint(value * 100) / 2 AS amount",
+        f"{pick(CURRENCIES, 'event_id')} AS currency",
+        f"{pick(MERCHANTS, 'event_id')} AS merchant",
+        f"{pick(COUNTRIES, 'user_id')} AS country",
+        f"{pick(CARD_TYPES, 'event_id')} AS card_type",
+        "lpad(cast(event_id % 10000 AS string), 4, '0') AS card_last4",
+        f"concat(if({k} = 85, '185.', '10.'), event_id % 255, '.0.1') AS ip_address",
+        f"{k} < 4 AS velocity_flag",
+        "ts AS timestamp",
+        "ts AS ingested_at",
     )
 
 
@@ -108,35 +113,32 @@ class Fixture:
     def scored(self) -> DataFrame:
         return self.valid.withColumn("fraud_reason", fraud_reason())
 
-    @cached_property
-    def tables(self) -> Tables:
-        """The three tables. Some alerts are acknowledged, and some appear
-        twice so that a join with them fans out."""
-        rows = {}
-        for name, part in split(self.parsed).items():
-            table = TABLES[name]
-            sent = sent_columns(part, table, *POSITION)
-            rows[name] = with_defaults(sent, table)
-        offset = F.col("kafka_offset")
-        copies = F.when(offset % 50 == 0, F.lit(2)).otherwise(F.lit(1))
-        rows["fraud_alerts"] = (
-            rows["fraud_alerts"]
-            .withColumn("acknowledged", offset % 5 == 0)
-            .withColumn("copy", F.explode(F.array_repeat(F.lit(1), copies)))
-        )
-        return Tables(**{n: df.select(*TABLES[n].columns) for n, df in rows.items()})
+    def table(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows as a database table returns them."""
+        table = TABLES[name]
+        sent = sent_columns(rows, table, *POSITION)
+        return with_defaults(sent, table).select(*table.columns)
 
-    @property
+    @cached_property
     def transactions(self) -> DataFrame:
-        return self.tables.transactions
+        return self.table("transactions", facts(self.parsed))
 
-    @property
+    @cached_property
     def alerts(self) -> DataFrame:
-        return self.tables.fraud_alerts
+        """Some alerts are acknowledged, and some appear twice so that a join
+        with them fans out."""
+        copies = F.expr("explode(array_repeat(0, if(kafka_offset % 50 = 0, 2, 1)))")
+        rows = alerts(self.parsed).withColumn("copy", copies)
+        table = self.table("fraud_alerts", rows)
+        return table.withColumn("acknowledged", F.col("transaction_id").cast("bigint") % 5 == 0)
 
-    @property
+    @cached_property
     def rejects(self) -> DataFrame:
-        return self.tables.dlq_messages
+        return self.table("dlq_messages", rejects(self.parsed))
+
+    @property
+    def tables(self) -> Tables:
+        return Tables(self.transactions, self.alerts, self.rejects)
 
     @cached_property
     def as_of(self) -> Column:

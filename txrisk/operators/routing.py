@@ -40,10 +40,15 @@ def stored_amount() -> Column:
     return F.col("amount").try_cast("decimal(14,2)")
 
 
+# Smallest amount that the stored type, fourteen digits with two decimals, has
+# no room for once rounded.
+OVERFLOW = 999_999_999_999.995
+
+
 def amount_overflows() -> Column:
     """The amount is a number, but too large to store."""
     amount = F.col("amount")
-    return amount.isNotNull() & ~F.isnan(amount.cast("double")) & stored_amount().isNull()
+    return amount.isNotNull() & ~F.isnan(amount) & (F.abs(amount) >= OVERFLOW)
 
 
 def error_type() -> Column:

@@ -17,7 +17,11 @@ Sink = Callable[[DataFrame, Table, int], None]
 
 
 def counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
-    """Rows with a counter that fills in as they are written."""
+    """Rows with a counter that fills in as they are written.
+
+    To be applied last: below a shuffle that turns out empty, Spark drops the
+    counter together with the rest of the plan.
+    """
     seen = Observation()
     return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
@@ -40,9 +44,10 @@ def parquet_sink(root: str, rebalance: bool = True) -> Sink:
     """
 
     def write(rows: DataFrame, table: Table, batch_id: int) -> None:
-        stored, seen = counted(stored_rows(rows, table, batch_id))
+        stored = stored_rows(rows, table, batch_id)
         if rebalance:
             stored = stored.hint("rebalance", "ingest_date")
+        stored, seen = counted(stored)
         (
             stored.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
