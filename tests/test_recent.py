@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from txrisk.functions.parse import utc_day
 from txrisk.operators import recent
 
 START = datetime(2024, 3, 1)
@@ -71,6 +72,38 @@ def test_recent_includes_the_boundary_and_later_rows(spark, tmp_path, within, sp
     assert got == {r[0] for r in rows if r[1] >= as_of - span}
 
 
+@pytest.mark.parametrize("writer, reader", [
+    ("UTC", "UTC"), ("Etc/GMT+12", "Pacific/Kiritimati"), ("Pacific/Kiritimati", "Etc/GMT+12"),
+    ("America/Los_Angeles", "Asia/Tokyo"),
+])
+def test_days_do_not_depend_on_the_time_zone(spark, tmp_path, writer, reader):
+    """A row per hour, written and read in sessions of different zones."""
+    path, start, hours = str(tmp_path / "t"), 1_709_200_000, 72
+    times = F.timestamp_seconds(start + F.col("id") * 3600)
+    try:
+        spark.conf.set("spark.sql.session.timeZone", writer)
+        rows = spark.range(-hours, hours).select("id", times.alias("ingested_at"))
+        day = utc_day("ingested_at")
+        rows.withColumn("ingest_date", day).write.partitionBy("ingest_date").parquet(path)
+        spark.conf.set("spark.sql.session.timeZone", reader)
+        stored = spark.read.parquet(path)
+        for hour in range(-hours, hours, 5):
+            as_of = F.timestamp_seconds(F.lit(start + hour * 3600))
+            assert recent.recent(stored, "1 HOUR", as_of).count() == min(2 * hours, hours - hour + 1)
+        assert [r.id for r in recent.latest(stored, 30, "id").collect()] == list(
+            range(hours - 1, hours - 31, -1)
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_day_before_the_epoch(spark):
+    days = spark.sql("SELECT timestamp_micros(-1) AS a, timestamp_micros(0) AS b").select(
+        utc_day("a").cast("string"), utc_day("b").cast("string")
+    )
+    assert tuple(days.first()) == ("1969-12-31", "1970-01-01")
+
+
 def test_recent_prunes_days(spark, tmp_path, plan_of):
     df = stored(spark, str(tmp_path / "t"), random_rows(6, 100, 6))
     plan = plan_of(recent.recent(df, "1 HOUR", START + timedelta(days=4)))

@@ -49,3 +49,9 @@ def row_id() -> Column:
     global sequence, and the same when a batch is written again."""
     partition = F.col("kafka_partition").cast("bigint")
     return F.shiftleft(partition, 48) + F.col("kafka_offset")
+
+
+def utc_day(time: str | Column) -> Column:
+    """Day of a timestamp in UTC, whatever the session time zone: writers and
+    readers of a table agree on the partition of a row."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(time) / 86_400).cast("int"))

@@ -12,6 +12,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txrisk.functions.parse import utc_day
+
 DAY = "ingest_date"
 
 
@@ -24,15 +26,11 @@ def as_of_column(as_of: datetime | Column | None) -> Column:
 
 def recent(df: DataFrame, within: str, as_of: datetime | Column | None = None) -> DataFrame:
     """Rows ingested no earlier than ``within`` (such as ``1 HOUR``) before
-    ``as_of``. There is no upper bound.
-
-    The date condition starts one day early: a writer may have used another
-    session time zone, and the row condition stays exact.
-    """
+    ``as_of``. There is no upper bound."""
     since = as_of_column(as_of) - F.expr(f"INTERVAL {within}")
     condition = F.col("ingested_at") >= since
     if DAY in df.columns:
-        condition = condition & (F.col(DAY) >= F.date_sub(F.to_date(since), 1))
+        condition = condition & (F.col(DAY) >= utc_day(since))
     return df.filter(condition)
 
 

@@ -12,7 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.functions.parse import row_id
+from txrisk.functions.parse import row_id, utc_day
 from txrisk.functions.rules import DEFAULT_RULES, Rule, fraud_reason
 from txrisk.schemas import DLQ_MESSAGES, FRAUD_ALERTS, POSITION, TRANSACTIONS, Table
 
@@ -100,7 +100,7 @@ def stored_rows(rows: DataFrame, table: Table, batch_id: int) -> DataFrame:
     rows = with_defaults(rows, table)
     rows = rows.withColumns(
         {
-            "ingest_date": F.to_date("ingested_at"),
+            "ingest_date": utc_day("ingested_at"),
             "batch_id": F.lit(batch_id).cast("bigint"),
         }
     )

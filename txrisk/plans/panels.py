@@ -16,11 +16,6 @@ from txrisk.functions.display import (
 from txrisk.operators.ranking import ranked, share_of_total, volume_by
 
 TOP_VOLUMES = 10
-STATUSES = {
-    "All": F.lit,
-    "Unacknowledged": lambda _: ~F.col("acknowledged"),
-    "Acknowledged": lambda _: F.col("acknowledged"),
-}
 
 
 def headline_cards(overview: DataFrame) -> DataFrame:
@@ -42,7 +37,9 @@ def pipeline_cards(totals: DataFrame) -> DataFrame:
 
 def with_status(alert_log: DataFrame, status: str = "All") -> DataFrame:
     """Alerts of one status among those the log already holds."""
-    return alert_log.filter(STATUSES[status](True))
+    acknowledged = F.col("acknowledged")
+    wanted = {"All": F.lit(True), "Unacknowledged": ~acknowledged, "Acknowledged": acknowledged}
+    return alert_log.filter(wanted[status])
 
 
 def alert_table(alert_log: DataFrame) -> DataFrame:
