@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txrisk.checks.cases import streamed
 from txrisk.checks.fixtures import Fixture
+from txrisk.operators import ranking
 from txrisk.plans import panels, reports
 from txrisk.schemas import TABLES, Tables
 from txrisk.sources.tables import read_tables
@@ -151,5 +152,5 @@ def test_reports_on_stored_tables_equal_those_without_layout(stored):
 
 
 def test_share_sums_to_the_whole(stored):
-    shares = panels.with_share(reports.alerts_by_reason(stored.fraud_alerts, AS_OF), "n")
+    shares = ranking.with_share(reports.alerts_by_reason(stored.fraud_alerts, AS_OF), "n")
     assert shares.agg(F.sum("pct")).first()[0] == pytest.approx(100, abs=0.01)

@@ -75,8 +75,10 @@ def test_stream_equals_batch(spark, source, expected, tmp_path):
     assert sorted(r[0] for r in batches.collect()) == [0, 1]
 
 
-@pytest.mark.parametrize("fail_in", ["transactions", "fraud_alerts", "dlq_messages"])
-@pytest.mark.parametrize("after_write", [False, True])
+@pytest.mark.parametrize(
+    "fail_in, after_write",
+    [("transactions", True), ("fraud_alerts", False), ("fraud_alerts", True), ("dlq_messages", True)],
+)
 def test_restart_after_a_failed_batch(spark, source, expected, tmp_path, fail_in, after_write):
     root, checkpoint = str(tmp_path / "tables"), str(tmp_path / "cp")
     write = parquet_sink(root)
@@ -218,9 +220,8 @@ NOTHING = {
 }
 
 
-@pytest.mark.parametrize("rebalance", [True, False])
+@pytest.mark.parametrize("rebalance, cached", [(True, True), (False, False)])
 @pytest.mark.parametrize("name", TABLES)
-@pytest.mark.parametrize("cached", [True, False])
 def test_batch_without_rows_for_a_table(spark, tmp_path, name, rebalance, cached):
     parsed = parse.transactions(Fixture(spark, SF_DIR).raw, stamp()).filter(NOTHING[name])
     parsed = parsed.repartition(3)

@@ -703,7 +703,7 @@ def _(f: Fixture) -> DataFrame:
         FROM ({BY_REASON_SQL}) AS grouped""",
 )
 def _(f: Fixture) -> DataFrame:
-    return panels.with_share(reports.alerts_by_reason(f.alerts, f.as_of), "n")
+    return ranking.with_share(reports.alerts_by_reason(f.alerts, f.as_of), "n")
 
 
 @case(
@@ -713,7 +713,7 @@ def _(f: Fixture) -> DataFrame:
 )
 def _(f: Fixture) -> DataFrame:
     volumes = panels.volume_by_merchant(reports.recent_transactions(f.transactions))
-    return panels.with_share(volumes, "amount")
+    return ranking.with_share(volumes, "amount")
 
 
 # --- sorts, limits, set invariants -----------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,8 +29,9 @@ def volume_by(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def share_of_total(value: str) -> Column:
-    """Percentage of the column's total. For grouped results that have a known
-    small number of rows: the total is taken in one task."""
-    everything = Window.partitionBy()
-    return 100 * F.col(value) / F.sum(value).over(everything)
+def with_share(df: DataFrame, value: str, alias: str = "pct") -> DataFrame:
+    """Each row's percentage of the column's total. The total is a partial sum
+    over the same grouping, so the rows need not come together in one task."""
+    total = df.agg(F.sum(value)).scalar()
+    share = 100 * F.col(value).cast("double") / total.cast("double")
+    return df.withColumn(alias, F.round(share, 4))

@@ -13,7 +13,7 @@ from txrisk.functions.display import (
     signed_rule,
     to_number,
 )
-from txrisk.operators.ranking import ranked, share_of_total, volume_by
+from txrisk.operators.ranking import ranked, volume_by
 
 TOP_VOLUMES = 10
 
@@ -61,8 +61,3 @@ def volume_by_country(recent_transactions: DataFrame) -> DataFrame:
 
 def volume_by_merchant(recent_transactions: DataFrame) -> DataFrame:
     return ranked(volume_by(recent_transactions, "merchant"), "amount", "merchant")
-
-
-def with_share(grouped: DataFrame, value: str) -> DataFrame:
-    """Each row's percentage of the whole, for a report of few rows."""
-    return grouped.withColumn("pct", F.round(share_of_total(value).cast("double"), 4))
