@@ -2,7 +2,6 @@
 
 import os
 from collections import Counter
-from decimal import Decimal
 
 import duckdb
 import pytest

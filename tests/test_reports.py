@@ -79,7 +79,8 @@ def test_status_filter_comes_after_the_limit(spark, empty):
     rows = [(i, f"t{i:03d}", "HIGH_AMOUNT", now, i >= 200) for i in range(300)]
     alerts = spark.createDataFrame(
         rows,
-        "id BIGINT, transaction_id STRING, fraud_reason STRING, ingested_at TIMESTAMP, acknowledged BOOLEAN",
+        "id BIGINT, transaction_id STRING, fraud_reason STRING, ingested_at TIMESTAMP, "
+        "acknowledged BOOLEAN",
     )
     log = reports.alert_log(empty.fraud_alerts.unionByName(alerts, allowMissingColumns=True))
     assert panels.with_status(log, "All").count() == 200

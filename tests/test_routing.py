@@ -96,6 +96,13 @@ def test_sent_columns_of_each_sink():
     assert DLQ_MESSAGES.sent == ["kafka_offset", "kafka_partition", "error_type", "ingested_at"]
 
 
+def test_a_message_is_parsed_once(fixture, plan_of):
+    from txrisk.functions import parse
+
+    for rows in routing.split(parse.transactions(fixture.raw)).values():
+        assert plan_of(rows).count("from_json") == 1
+
+
 def test_scoring_does_not_shuffle(fixture, plan_of):
     for rows in routing.split(fixture.parsed).values():
         assert "Exchange" not in plan_of(rows)

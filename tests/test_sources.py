@@ -2,10 +2,13 @@
 
 import pytest
 
+from txrisk import __main__ as job
 from txrisk.__main__ import arguments
+from txrisk.checks.fixtures import Fixture
 from txrisk.schemas import ENVELOPE
 from txrisk.session import scratch_dir
 from txrisk.sources.messages import file_stream, kafka_options
+from txrisk.sources.tables import read_tables
 
 
 def test_topic_options():
@@ -44,3 +47,27 @@ def test_scratch_folder_is_under_the_shared_one(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert first != second
+
+
+def test_job(spark, tmp_path, monkeypatch):
+    """The whole job, with files in place of the topic."""
+    source, root = str(tmp_path / "messages"), str(tmp_path / "tables")
+    Fixture(spark, "/root/testdata/sf0.001").raw.write.parquet(source)
+    asked = {}
+
+    def topic(session, servers, name, **options):
+        asked.update(servers=servers, name=name, **options)
+        return file_stream(session, source)
+
+    def run(session, query):
+        query.processAllAvailable()
+        query.stop()
+
+    monkeypatch.setattr(job, "topic_stream", topic)
+    monkeypatch.setattr(job, "run", run)
+    job.main(
+        ["--servers", "b:9092", "--root", root, "--checkpoint", str(tmp_path / "cp"),
+         "--source-option", "minPartitions=8"]
+    )
+    assert asked == {"servers": "b:9092", "name": "transactions", "minPartitions": "8"}
+    assert [df.count() for df in read_tables(spark, root)] == [969, 298, 31]

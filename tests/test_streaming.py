@@ -77,7 +77,12 @@ def test_stream_equals_batch(spark, source, expected, tmp_path):
 
 @pytest.mark.parametrize(
     "fail_in, after_write",
-    [("transactions", True), ("fraud_alerts", False), ("fraud_alerts", True), ("dlq_messages", True)],
+    [
+        ("transactions", True),
+        ("fraud_alerts", False),
+        ("fraud_alerts", True),
+        ("dlq_messages", True),
+    ],
 )
 def test_restart_after_a_failed_batch(spark, source, expected, tmp_path, fail_in, after_write):
     root, checkpoint = str(tmp_path / "tables"), str(tmp_path / "cp")

@@ -52,6 +52,8 @@ WITH keyed AS (
     SELECT *, kafka_offset % 5 = 0 AS acknowledged, CAST(NULL AS VARCHAR) AS notes
     FROM (SELECT * FROM flagged
           UNION ALL SELECT * FROM flagged WHERE kafka_offset % 50 = 0) AS copies
+), streamed_alerts AS (
+    SELECT *, false AS acknowledged FROM flagged
 ), moment AS (
     SELECT max(ingested_at) AS as_of FROM transactions
 ), alert_log AS (

@@ -34,11 +34,14 @@ def transactions(raw: DataFrame, stamp: Column | None = None) -> DataFrame:
     ``stamp`` is the ingest time, by default the current time, which Spark
     holds constant within a query or micro-batch. It may refer to the parsed
     columns.
+
+    The struct is expanded by ``inline`` and not by ``tx.*``: Spark moves
+    filters below a projection and would then parse the body once for every
+    field a filter mentions. It does not move them below a generator.
     """
     return (
         envelope(raw)
-        .select("kafka_offset", "kafka_partition", message_struct().alias("tx"))
-        .select("kafka_offset", "kafka_partition", "tx.*")
+        .select("kafka_offset", "kafka_partition", F.inline(F.array(message_struct())))
         .withColumn("timestamp", event_time())
         .withColumn("ingested_at", F.current_timestamp() if stamp is None else stamp)
     )

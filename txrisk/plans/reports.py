@@ -67,7 +67,8 @@ def overview(tables: Tables, as_of: AsOf = None) -> DataFrame:
 
 
 def alerts_by_reason(alerts: DataFrame, as_of: AsOf = None) -> DataFrame:
-    return ranked(counts_by(recent(alerts, ALERT_PERIOD, as_of), "fraud_reason"), "n", "fraud_reason")
+    by_reason = counts_by(recent(alerts, ALERT_PERIOD, as_of), "fraud_reason")
+    return ranked(by_reason, "n", "fraud_reason")
 
 
 def alerts_by_country(alerts: DataFrame, as_of: AsOf = None) -> DataFrame:

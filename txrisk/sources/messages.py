@@ -32,7 +32,11 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, **more: str) ->
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: str | StructType = ENVELOPE, fmt: str = "parquet", **more: str
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType = ENVELOPE,
+    fmt: str = "parquet",
+    **more: str,
 ) -> DataFrame:
     """Messages from files that arrive in a directory."""
     return spark.readStream.schema(schema).format(fmt).options(**more).load(path)
