@@ -50,7 +50,7 @@ def test_plain_append_sends_the_contract_columns(parts, written):
     write = sinks.jdbc_sink(URL, PROPERTIES, connections=4, replay_safe=False)
     for table in (TRANSACTIONS, FRAUD_ALERTS, DLQ_MESSAGES):
         written.clear()
-        write(parts[table.name], table, 3)
+        write(parts[table.name], table, 3, 9)
         option, (url, name, mode, properties, df) = written
         assert option == ("numPartitions", 4)
         assert (url, name, mode, properties) == (URL, table.name, "append", PROPERTIES)
@@ -65,7 +65,7 @@ def test_first_batch_skips_stored_rows_and_later_ones_do_not_look(parts, written
     done = batch.filter(F.col("kafka_offset") % 2 == 0)
     rows["fraud_alerts"] = done.select(*POSITION)
     write = sinks.jdbc_sink(URL, PROPERTIES, connections=2)
-    write(batch, FRAUD_ALERTS, 5)
+    write(batch, FRAUD_ALERTS, 5, 1)
     assert reads == [
         ("fraud_alerts", [
             "batch_id = 5 AND MOD(kafka_offset, 2) = 0",
@@ -76,7 +76,7 @@ def test_first_batch_skips_stored_rows_and_later_ones_do_not_look(parts, written
     assert set(df.columns) == {*FRAUD_ALERTS.sent, *POSITION, "batch_id"}
     assert df.count() == batch.count() - done.count()
     assert df.filter("kafka_offset % 2 = 0 OR batch_id <> 5").isEmpty()
-    write(batch, FRAUD_ALERTS, 6)
+    write(batch, FRAUD_ALERTS, 6, 1)
     assert len(reads) == 1
     assert written[-1][-1].count() == batch.count()
 
@@ -93,8 +93,8 @@ def test_a_failed_write_is_checked_again(parts, written, stored, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(DataFrameWriter, "jdbc", broken)
         with pytest.raises(RuntimeError):
-            write(batch, DLQ_MESSAGES, 0)
-    write(batch, DLQ_MESSAGES, 0)
+            write(batch, DLQ_MESSAGES, 0, 1)
+    write(batch, DLQ_MESSAGES, 0, 1)
     assert len(reads) == 2
 
 
@@ -114,5 +114,5 @@ def test_batch_that_is_stored_already(parts, written, stored):
     rows, _ = stored
     batch = parts["fraud_alerts"].repartition(3)
     rows["fraud_alerts"] = batch.select(*POSITION)
-    sinks.jdbc_sink(URL, PROPERTIES)(batch, FRAUD_ALERTS, 0)
+    sinks.jdbc_sink(URL, PROPERTIES)(batch, FRAUD_ALERTS, 0, 1)
     assert written[-1][-1].isEmpty()

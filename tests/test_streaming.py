@@ -20,7 +20,7 @@ from txrisk.sources.tables import (
     register,
     run_query,
 )
-from txrisk.streaming.job import batch_writer, run, start
+from txrisk.streaming.job import batch_writer, run, start, write_tasks
 from txrisk.streaming.sinks import parquet_sink
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -88,11 +88,11 @@ def test_restart_after_a_failed_batch(spark, source, expected, tmp_path, fail_in
     root, checkpoint = str(tmp_path / "tables"), str(tmp_path / "cp")
     write = parquet_sink(root)
 
-    def failing(rows, table, batch_id):
+    def failing(rows, table, batch_id, tasks):
         broken = batch_id == 1 and table.name == fail_in
         if broken and not after_write:
             raise RuntimeError("sink is down")
-        write(rows, table, batch_id)
+        write(rows, table, batch_id, tasks)
         if broken:
             raise RuntimeError("connection lost")
 
@@ -122,24 +122,45 @@ def test_all_tables_of_a_batch_share_one_ingest_time(spark, source, tmp_path):
     assert len(times["transactions"]) == 2
 
 
-@pytest.mark.parametrize("rebalance, n", [(True, 1), (False, 4)])
-def test_files_per_batch(spark, source, tmp_path, rebalance, n):
-    """Four source files in a batch give one file when rebalanced."""
+@pytest.mark.parametrize("rows_per_task, n", [(50_000, 1), (200, 2), (10, 4)])
+def test_files_per_batch(spark, source, tmp_path, rows_per_task, n):
+    """298 alerts in four tasks give as many files as their number asks for, and
+    no more than there are tasks."""
     root = str(tmp_path / "tables")
-    with_files = spark.conf.get("spark.sql.files.openCostInBytes")
+    with_cost = spark.conf.get("spark.sql.files.openCostInBytes")
     spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
     try:
         start(
-            messages(spark, source, "4"), parquet_sink(root, rebalance), str(tmp_path / "cp"),
-            available_now=True,
+            messages(spark, source, "4"), parquet_sink(root), str(tmp_path / "cp"),
+            rows_per_task=rows_per_task, available_now=True,
         ).awaitTermination()
     finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", with_files)
+        spark.conf.set("spark.sql.files.openCostInBytes", with_cost)
     assert len(files(root, FRAUD_ALERTS)) == n
 
 
+def test_write_tasks():
+    assert write_tasks(21_000, 21_500) == 1
+    assert write_tasks(2_000_000, 2_000_000) == 40
+    assert write_tasks(50_001, 60_000) == 2
+    # three rejects among half a billion messages
+    assert write_tasks(3, 500_000_000) == 250
+
+
+def test_writing_does_not_shuffle(spark, plan_of):
+    parsed = parse.transactions(Fixture(spark, SF_DIR).raw).persist()
+
+    def sink(rows, table, batch_id, tasks):
+        plans.append(plan_of(routing.stored_rows(rows, table, batch_id).coalesce(1)))
+
+    plans = []
+    batch_writer(sink)(parsed, 0)
+    assert len(plans) == 3
+    assert not any("Exchange" in plan for plan in plans)
+
+
 def test_rows_are_logged_per_batch(spark, source, tmp_path, caplog):
-    caplog.set_level(logging.INFO, "txrisk.streaming.sinks")
+    caplog.set_level(logging.INFO, "txrisk.streaming.job")
     start(
         messages(spark, source, "4"), parquet_sink(str(tmp_path / "t")), str(tmp_path / "cp"),
         stamp=stamp(), available_now=True,
@@ -149,7 +170,7 @@ def test_rows_are_logged_per_batch(spark, source, tmp_path, caplog):
 
 
 def test_run_raises_when_the_query_fails(spark, source, tmp_path):
-    def failing(rows, table, batch_id):
+    def failing(rows, table, batch_id, tasks):
         raise RuntimeError("sink is down")
 
     spark.streams.resetTerminated()
@@ -225,22 +246,16 @@ NOTHING = {
 }
 
 
-@pytest.mark.parametrize("rebalance, cached", [(True, True), (False, False)])
 @pytest.mark.parametrize("name", TABLES)
-def test_batch_without_rows_for_a_table(spark, tmp_path, name, rebalance, cached):
+def test_batch_without_rows_for_a_table(spark, tmp_path, name):
     parsed = parse.transactions(Fixture(spark, SF_DIR).raw, stamp()).filter(NOTHING[name])
-    parsed = parsed.repartition(3)
     root = str(tmp_path / "tables")
     create_tables(spark, root)
-    if cached:
-        parsed = parsed.persist()
-    write = parquet_sink(root, rebalance)
-    parts = routing.split(parsed)
-    for table in TABLES.values():
-        write(parts[table.name], table, 0)
-    stored = read_tables(spark, root)._asdict()
+    batch_writer(parquet_sink(root))(parsed.repartition(3), 0)
+    stored, parts = read_tables(spark, root)._asdict(), routing.split(parsed)
     assert stored[name].isEmpty()
-    assert all(stored[n].count() == parts[n].count() for n in TABLES)
+    assert {n: df.count() for n, df in stored.items()} == routing.sizes(parsed)
+    assert {n: df.count() for n, df in parts.items()} == routing.sizes(parsed)
 
 
 def test_empty_batch(spark, tmp_path):

@@ -12,9 +12,17 @@ from txrisk.checks.oracle import VIEWS, since
 from txrisk.functions import display, parse, rules
 from txrisk.operators import matching, ranking, recent, routing
 from txrisk.plans import panels, reports
-from txrisk.schemas import DLQ_MESSAGES, FRAUD_ALERTS, MESSAGE, POSITION, TABLES, TRANSACTIONS
+from txrisk.schemas import (
+    DLQ_MESSAGES,
+    FRAUD_ALERTS,
+    MESSAGE,
+    POSITION,
+    TABLES,
+    TRANSACTIONS,
+    Table,
+)
 from txrisk.sources.tables import create_tables, read_table, read_tables, register, run_query
-from txrisk.streaming.job import start
+from txrisk.streaming.job import batch_writer, start
 from txrisk.streaming.sinks import parquet_sink
 
 Build = Callable[[Fixture], DataFrame]
@@ -171,10 +179,7 @@ def rows_per_table(f: Fixture, root: str) -> DataFrame:
 def _(f: Fixture) -> DataFrame:
     """The writer on a bounded batch, outside a stream."""
     root = f.scratch("tables")
-    write = parquet_sink(root)
-    parsed = parse.transactions(f.raw, F.col("timestamp"))
-    for name, rows in routing.split(parsed).items():
-        write(rows, TABLES[name], 0)
+    batch_writer(parquet_sink(root))(parse.transactions(f.raw, F.col("timestamp")), 0)
     return rows_per_table(f, root)
 
 
@@ -851,10 +856,10 @@ def replay_case(name: str, sql: str) -> None:
         root, checkpoint = f.scratch("tables"), f.scratch("checkpoint")
         write = parquet_sink(root)
 
-        def failing(rows: DataFrame, table, batch_id: int) -> None:
+        def failing(rows: DataFrame, table: Table, batch_id: int, tasks: int) -> None:
             if table is not TRANSACTIONS:
                 raise RuntimeError("sink is down")
-            write(rows, table, batch_id)
+            write(rows, table, batch_id, tasks)
 
         for sink in (failing, write):
             stream = start(

@@ -58,9 +58,13 @@ def error_type() -> Column:
     )
 
 
+def is_fact() -> Column:
+    return has_ids() & ~amount_overflows()
+
+
 def facts(parsed: DataFrame) -> DataFrame:
     """All valid messages, alerted or not."""
-    return parsed.filter(has_ids() & ~amount_overflows())
+    return parsed.filter(is_fact())
 
 
 def scored(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
@@ -114,3 +118,14 @@ def split(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str,
         FRAUD_ALERTS.name: alerts(parsed, rules),
         DLQ_MESSAGES.name: rejects(parsed),
     }
+
+
+def sizes(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str, int]:
+    """Table name to the number of rows that belong in it, in one job."""
+    conditions = {
+        TRANSACTIONS.name: is_fact(),
+        FRAUD_ALERTS.name: is_fact() & fraud_reason(rules).isNotNull(),
+        DLQ_MESSAGES.name: error_type().isNotNull(),
+    }
+    counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+    return parsed.agg(*counts).first().asDict()

@@ -7,36 +7,61 @@ accept a repeated batch, the restart is safe.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.functions.parse import transactions
 from txrisk.functions.rules import DEFAULT_RULES, Rule
-from txrisk.operators.routing import split
-from txrisk.schemas import TABLES
+from txrisk.operators.routing import sizes, split
+from txrisk.schemas import DLQ_MESSAGES, TABLES, TRANSACTIONS
 from txrisk.streaming.sinks import Sink
 
+log = logging.getLogger(__name__)
+
 TRIGGER = "5 seconds"
 
 
+# Rows a task should write, about half a second's work, and how many times as
+# many it may have to look at to find them.
+ROWS_PER_TASK = 50_000
+LOOK_THROUGH = 40
+
+
+def write_tasks(rows: int, batch_rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """Tasks to write some of a batch's rows with. Fewer tasks give fewer files;
+    the second bound keeps a rare kind of row from being searched for by one
+    task in the whole of a large batch."""
+    return max(1, ceil(rows / rows_per_task), ceil(batch_rows / (rows_per_task * LOOK_THROUGH)))
+
+
 def batch_writer(
-    sink: Sink, tables: Sequence[str] = tuple(TABLES), rules: Sequence[Rule] = DEFAULT_RULES
+    sink: Sink,
+    tables: Sequence[str] = tuple(TABLES),
+    rules: Sequence[Rule] = DEFAULT_RULES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> Callable[[DataFrame, int], None]:
-    """Body of the query: split a batch and write the named tables in order."""
+    """Body of the query: split a batch and write the named tables in order.
+
+    The batch is held while it is counted and written, so its messages are read
+    and parsed once. A table without rows is left alone.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        shared = len(tables) > 1
-        if shared:
-            batch = batch.persist()
+        batch = batch.persist()
         try:
-            parts = split(batch, rules)
+            parts, rows = split(batch, rules), sizes(batch, rules)
+            batch_rows = rows[TRANSACTIONS.name] + rows[DLQ_MESSAGES.name]
             for name in tables:
-                sink(parts[name], TABLES[name], batch_id)
+                if rows[name]:
+                    tasks = write_tasks(rows[name], batch_rows, rows_per_task)
+                    log.info("batch %d: %d rows to %s", batch_id, rows[name], name)
+                    sink(parts[name], TABLES[name], batch_id, tasks)
         finally:
-            if shared:
-                batch.unpersist()
+            batch.unpersist()
 
     return write
 
@@ -48,6 +73,7 @@ def start(
     *,
     tables: Sequence[str] = tuple(TABLES),
     rules: Sequence[Rule] = DEFAULT_RULES,
+    rows_per_task: int = ROWS_PER_TASK,
     stamp: Column | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
@@ -59,7 +85,7 @@ def start(
     trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGER}
     return (
         transactions(raw, stamp)
-        .writeStream.foreachBatch(batch_writer(sink, tables, rules))
+        .writeStream.foreachBatch(batch_writer(sink, tables, rules, rows_per_task))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

@@ -2,59 +2,35 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.operators.routing import sent_columns, stored_rows
 from txrisk.schemas import LAYOUT, POSITION, Table
 
-log = logging.getLogger(__name__)
+# Takes the rows, the table, the batch id and the number of tasks to write with.
+Sink = Callable[[DataFrame, Table, int, int], None]
 
-Sink = Callable[[DataFrame, Table, int], None]
 
-
-def counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
-    """Rows with a counter that fills in as they are written.
-
-    To be applied last: below a shuffle that turns out empty, Spark drops the
-    counter together with the rest of the plan.
-    """
-    seen = Observation()
-    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
-def log_count(seen: Observation, table: Table, batch_id: int) -> None:
-    rows = seen.get["rows"]
-    if rows:
-        log.info("batch %d: %d rows to %s", batch_id, rows, table.name)
-
-
-def parquet_sink(root: str, rebalance: bool = True) -> Sink:
+def parquet_sink(root: str) -> Sink:
     """Files under ``root``, one directory per day and batch.
 
     A batch overwrites its own directories only, so a batch that is retried
-    after a failure replaces what the first try left. With ``rebalance`` Spark
-    chooses the number of files by size: a small batch gives one file per day
-    however many tasks read it, a large one is split evenly. Without it there
-    is no shuffle, and each task writes its own file; this suits a backfill
-    whose tasks are large already.
+    after a failure replaces what the first try left. A small batch that many
+    tasks hold is merged into few files without a shuffle.
     """
 
-    def write(rows: DataFrame, table: Table, batch_id: int) -> None:
-        stored = stored_rows(rows, table, batch_id)
-        if rebalance:
-            stored = stored.hint("rebalance", "ingest_date")
-        stored, seen = counted(stored)
+    def write(rows: DataFrame, table: Table, batch_id: int, tasks: int) -> None:
         (
-            stored.write.mode("overwrite")
+            stored_rows(rows, table, batch_id)
+            .coalesce(tasks)
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*LAYOUT)
             .parquet(f"{root}/{table.name}")
         )
-        log_count(seen, table, batch_id)
 
     return write
 
@@ -87,7 +63,7 @@ def jdbc_sink(
     """
     started: set[str] = set()
 
-    def write(rows: DataFrame, table: Table, batch_id: int) -> None:
+    def write(rows: DataFrame, table: Table, batch_id: int, tasks: int) -> None:
         if not replay_safe:
             batch = sent_columns(rows, table)
         else:
@@ -99,11 +75,9 @@ def jdbc_sink(
                     url, table.name, predicates=predicates, properties=properties
                 )
                 batch = without_stored(batch, stored)
-        batch, seen = counted(batch)
-        batch.write.option("numPartitions", connections).jdbc(
+        batch.write.option("numPartitions", min(tasks, connections)).jdbc(
             url, table.name, mode="append", properties=properties
         )
         started.add(table.name)
-        log_count(seen, table, batch_id)
 
     return write
