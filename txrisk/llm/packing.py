@@ -92,7 +92,7 @@ def word_encoder(path: str) -> Encode:
         found = text.encode("utf-8", "replace").lower().split()
         if len(known) > KEPT_WORDS:
             known.clear()
-        for word in set(found) - known.keys():
+        for word in set(found):
             find(word)
         return b"".join(map(known.__getitem__, found))
 
