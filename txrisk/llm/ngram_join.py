@@ -79,8 +79,9 @@ def shingle_set(text: str, width: int, known: dict[bytes, int]) -> np.ndarray:
         return np.empty(0, np.uint64)
     if len(words) < width:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(words), seed=1)], np.uint64)
-    for word in set(words) - known.keys():
-        known[word] = xxhash.xxh3_64_intdigest(word)
+    for word in set(words):
+        if word not in known:
+            known[word] = xxhash.xxh3_64_intdigest(word)
     ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     size = len(words) - width + 1
     h = np.zeros(size, np.uint64)
