@@ -98,6 +98,29 @@ def test_a_failed_write_is_checked_again(parts, written, stored, monkeypatch):
     assert len(reads) == 2
 
 
+def test_a_later_batch_that_fails_is_checked_again(parts, written, stored, monkeypatch):
+    rows, reads = stored
+    batch = parts["dlq_messages"]
+    rows["dlq_messages"] = batch.select(*POSITION).limit(0)
+    write = sinks.jdbc_sink(URL, PROPERTIES)
+    write(batch, DLQ_MESSAGES, 0, 1)
+    assert len(reads) == 1
+
+    def broken_after(self, *args, **kwargs):
+        raise RuntimeError("connection lost after the rows were sent")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(DataFrameWriter, "jdbc", broken_after)
+        with pytest.raises(RuntimeError):
+            write(batch, DLQ_MESSAGES, 1, 1)
+    rows["dlq_messages"] = batch.select(*POSITION)
+    write(batch, DLQ_MESSAGES, 1, 1)
+    assert len(reads) == 2
+    assert written[-1][-1].isEmpty()
+    write(batch, DLQ_MESSAGES, 1, 1)
+    assert len(reads) == 3
+
+
 def test_bounded_read(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(

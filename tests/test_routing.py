@@ -1,6 +1,5 @@
 """Split into facts, alerts and rejects, and the stored columns."""
 
-import math
 from decimal import Decimal
 
 import pytest
@@ -44,28 +43,15 @@ def test_contract_violation_is_a_missing_id(fixture):
     assert violating.count() == fixture.parsed.filter(routing.lacks_ids()).count() > 0
 
 
-def test_overflow_is_rejected_and_nan_is_not(spark):
-    df = with_amounts(spark, [1e13, -1e13, float("inf"), float("nan"), None, 999999999999.99, 1.0])
-    got = [r[0] for r in df.select(routing.error_type()).collect()]
-    assert got == [routing.AMOUNT_OVERFLOW] * 3 + [None] * 4
-    assert routing.facts(df).count() == 4
-
-
-def test_overflow_is_what_the_stored_type_refuses(spark):
-    edge = routing.OVERFLOW
-    near = [edge, math.nextafter(edge, 0), math.nextafter(edge, math.inf), 1e12 - 0.01, 1e12]
-    amounts = [s * a for a in near + [0.0, 1e308, math.inf, 5e-324] for s in (1, -1)]
-    df = with_amounts(spark, amounts).select(
-        routing.amount_overflows().alias("overflows"), routing.stored_amount().alias("stored")
-    )
-    assert all(r.overflows == (r.stored is None) for r in df.collect())
-
-
-def test_missing_id_comes_before_overflow(spark):
-    df = spark.createDataFrame(
-        [(None, "u", 1e13)], "transaction_id STRING, user_id STRING, amount DOUBLE"
-    )
-    assert df.select(routing.error_type()).first()[0] == routing.SCHEMA_VIOLATION
+def test_amounts_beyond_the_stored_type_stay_and_alert(spark):
+    amounts = [1e13, float("inf"), float("nan"), 1e12, -1e13, None, 999999999999.99]
+    df = with_amounts(spark, amounts)
+    assert routing.facts(df).count() == len(amounts)
+    assert df.filter(routing.error_type().isNotNull()).isEmpty()
+    stored = [r[0] for r in df.select(routing.stored_amount()).collect()]
+    assert stored == [None] * 6 + [Decimal("999999999999.99")]
+    rules = [("HIGH_AMOUNT", "amount > 10000")]
+    assert routing.alerts(df, rules).count() == 5
 
 
 def test_stored_amount_rounds_half_up(spark):

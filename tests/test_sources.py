@@ -1,14 +1,17 @@
 """Source options and job arguments."""
 
+from datetime import date
+
 import pytest
+from pyspark.sql import functions as F
 
 from txrisk import __main__ as job
 from txrisk.__main__ import arguments
 from txrisk.checks.fixtures import Fixture
-from txrisk.schemas import ENVELOPE
+from txrisk.schemas import ENVELOPE, LAYOUT, TRANSACTIONS
 from txrisk.session import scratch_dir
 from txrisk.sources.messages import file_stream, kafka_options
-from txrisk.sources.tables import read_tables
+from txrisk.sources.tables import read_table, read_tables
 
 
 def test_topic_options():
@@ -71,3 +74,21 @@ def test_job(spark, tmp_path, monkeypatch):
     )
     assert asked == {"servers": "b:9092", "name": "transactions", "minPartitions": "8"}
     assert [df.count() for df in read_tables(spark, root)] == [969, 298, 31]
+
+
+def test_archive_needs_its_boundary_and_keeps_rows_without_a_day(spark, tmp_path):
+    root, archive = str(tmp_path / "live"), str(tmp_path / "archive")
+    day = date(2024, 5, 1)
+    empty = spark.createDataFrame([], TRANSACTIONS.stored)
+    values = [("old", day), ("new", date(2024, 5, 3)), ("none", None)]
+    rows = spark.createDataFrame(values, "transaction_id STRING, ingest_date DATE")
+    rows = rows.withColumn("batch_id", F.lit(0).cast("bigint"))
+    full = empty.unionByName(rows, allowMissingColumns=True)
+    full.write.partitionBy(*LAYOUT).parquet(f"{root}/{TRANSACTIONS.name}")
+    full.filter("transaction_id = 'old'").write.partitionBy("ingest_date").parquet(
+        f"{archive}/{TRANSACTIONS.name}"
+    )
+    with pytest.raises(ValueError, match="closed_before"):
+        read_table(spark, root, TRANSACTIONS, archive)
+    whole = read_table(spark, root, TRANSACTIONS, archive, date(2024, 5, 2))
+    assert sorted(r[0] for r in whole.select("transaction_id").collect()) == ["new", "none", "old"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,8 +30,8 @@ def volume_by(df: DataFrame, key: str) -> DataFrame:
 
 
 def with_share(df: DataFrame, value: str, alias: str = "pct") -> DataFrame:
-    """Each row's percentage of the column's total. The total is a partial sum
-    over the same grouping, so the rows need not come together in one task."""
-    total = df.agg(F.sum(value)).scalar()
+    """Each row's percentage of the column's total. ``df`` is a report: its rows
+    are groups, few enough for one window, and it runs once."""
+    total = F.sum(value).over(Window.partitionBy())
     share = 100 * F.col(value).cast("double") / total.cast("double")
     return df.withColumn(alias, F.round(share, 4))

@@ -17,7 +17,6 @@ from txrisk.functions.rules import DEFAULT_RULES, Rule, fraud_reason
 from txrisk.schemas import DLQ_MESSAGES, FRAUD_ALERTS, POSITION, TRANSACTIONS, Table
 
 SCHEMA_VIOLATION = "SCHEMA_VIOLATION"
-AMOUNT_OVERFLOW = "AMOUNT_OVERFLOW"
 
 
 def has_ids() -> Column:
@@ -36,35 +35,19 @@ def violates(table: Table) -> Column:
 
 
 def stored_amount() -> Column:
-    """Amount as stored. NaN has no decimal form and becomes NULL."""
+    """Amount as stored. One that the stored type has no form for, not a number
+    or too large, becomes NULL; its row stays, and so does its alert."""
     return F.col("amount").try_cast("decimal(14,2)")
 
 
-# Smallest amount that the stored type, fourteen digits with two decimals, has
-# no room for once rounded.
-OVERFLOW = 999_999_999_999.995
-
-
-def amount_overflows() -> Column:
-    """The amount is a number, but too large to store."""
-    amount = F.col("amount")
-    return amount.isNotNull() & ~F.isnan(amount) & (F.abs(amount) >= OVERFLOW)
-
-
 def error_type() -> Column:
     """Why a message is rejected, NULL for one that is kept."""
-    return F.when(lacks_ids(), F.lit(SCHEMA_VIOLATION)).when(
-        amount_overflows(), F.lit(AMOUNT_OVERFLOW)
-    )
-
-
-def is_fact() -> Column:
-    return has_ids() & ~amount_overflows()
+    return F.when(lacks_ids(), F.lit(SCHEMA_VIOLATION))
 
 
 def facts(parsed: DataFrame) -> DataFrame:
     """All valid messages, alerted or not."""
-    return parsed.filter(is_fact())
+    return parsed.filter(has_ids())
 
 
 def scored(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
@@ -123,8 +106,8 @@ def split(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str,
 def sizes(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str, int]:
     """Table name to the number of rows that belong in it, in one job."""
     conditions = {
-        TRANSACTIONS.name: is_fact(),
-        FRAUD_ALERTS.name: is_fact() & fraud_reason(rules).isNotNull(),
+        TRANSACTIONS.name: has_ids(),
+        FRAUD_ALERTS.name: has_ids() & fraud_reason(rules).isNotNull(),
         DLQ_MESSAGES.name: error_type().isNotNull(),
     }
     counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]

@@ -27,17 +27,19 @@ def read_table(
 ) -> DataFrame:
     """One stored table, with its declared schema.
 
-    With ``archive``, days before ``closed_before`` come from the compacted
-    copy and the others from ``root``; both conditions prune directories.
+    With ``archive``, days before ``closed_before``, which must be given, come
+    from the compacted copy and the others, rows without a day among them, from
+    ``root``; both conditions prune directories.
     """
+    if archive is not None and closed_before is None:
+        raise ValueError("closed_before says which days the archive holds")
     live = spark.read.schema(table.stored).parquet(f"{root}/{table.name}")
     if archive is None:
         return live
     closed = spark.read.schema(table.stored).parquet(f"{archive}/{table.name}")
     boundary = F.lit(closed_before)
-    return live.filter(F.col("ingest_date") >= boundary).unionByName(
-        closed.filter(F.col("ingest_date") < boundary)
-    )
+    day = F.col("ingest_date")
+    return live.filter(day.isNull() | (day >= boundary)).unionByName(closed.filter(day < boundary))
 
 
 def read_tables(

@@ -56,12 +56,13 @@ def jdbc_sink(
 
     Appending alone repeats the rows of a batch that is retried. With
     ``replay_safe`` the tables must also have ``kafka_partition``,
-    ``kafka_offset`` and ``batch_id``: the first batch after a start, the only
-    one that can be a retry, then skips what is stored already. A unique key on
-    the message position turns a repeated insert by a retried task into an
-    error, and the restart that follows completes the batch.
+    ``kafka_offset`` and ``batch_id``: a batch that may be a retry then skips
+    what is stored already. That is the first one after a start, one after a
+    write that failed, and one whose id is not above the last that was written.
+    A unique key on the message position turns a repeated insert by a retried
+    task into an error, and the restart that follows completes the batch.
     """
-    started: set[str] = set()
+    written: dict[str, int] = {}
 
     def write(rows: DataFrame, table: Table, batch_id: int, tasks: int) -> None:
         if not replay_safe:
@@ -69,7 +70,9 @@ def jdbc_sink(
         else:
             batch = sent_columns(rows, table, *POSITION)
             batch = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            if table.name not in started:
+            # Forgotten until this write is known to be good.
+            last = written.pop(table.name, None)
+            if last is None or batch_id <= last:
                 predicates = replay_predicates(batch_id, connections)
                 stored = batch.sparkSession.read.jdbc(
                     url, table.name, predicates=predicates, properties=properties
@@ -78,6 +81,6 @@ def jdbc_sink(
         batch.write.option("numPartitions", min(tasks, connections)).jdbc(
             url, table.name, mode="append", properties=properties
         )
-        started.add(table.name)
+        written[table.name] = batch_id
 
     return write
