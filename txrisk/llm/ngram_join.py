@@ -143,7 +143,7 @@ def frequent_shingles(docs: DataFrame, join: Join) -> np.ndarray:
 
 
 def document_sets(docs: DataFrame, join: Join) -> DataFrame:
-    """Per document: doc_id, text_id, set, n, the point and the prefix."""
+    """Per document: doc_id, text_id, set, n, the point, the prefix and a row number."""
     frequent = frequent_shingles(docs, join)
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -179,7 +179,7 @@ def document_sets(docs: DataFrame, join: Join) -> DataFrame:
         docs.select("doc_id", F.xxhash64(text).alias("text_id"), text.alias("text")).mapInArrow(
             describe,
             f"doc_id {kind}, text_id bigint, set bigint, n bigint, point binary, prefix array<bigint>",
-        ),
+        ).withColumn("row", F.monotonically_increasing_id()),
         "shingle-sets",
     )
 
@@ -388,11 +388,9 @@ def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     :func:`~txrisk.llm.components.connected`."""
     filled = sets.filter("n > 0")
     # One document stands for a set, chosen without bringing the prefixes along.
-    chosen = filled.groupBy("set").agg(F.min("text_id").alias("text_id"))
-    single = filled.select("set", "text_id", "n", "prefix").join(
-        chosen, ["set", "text_id"], "left_semi"
-    )
-    entries = single.select("set", "n", F.posexplode("prefix").alias("place", "shingle")).distinct()
+    chosen = filled.groupBy("set").agg(F.min("row").alias("row")).select("row")
+    single = filled.select("row", "set", "n", "prefix").join(chosen, "row", "left_semi")
+    entries = single.select("set", "n", F.posexplode("prefix").alias("place", "shingle"))
     shared = entries.groupBy("shingle").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     rows = stored(entries.join(shared.select("shingle"), "shingle"), "shared-shingles")
     points = stored(
