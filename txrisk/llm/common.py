@@ -37,11 +37,21 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(words(text))
+    """Number of words. Where single spaces divide them, which a search tells,
+    spaces are counted instead of splitting."""
+    inner = F.btrim(text, F.lit(GAP_CHARS))
+    spaces = F.length(inner) - F.length(F.replace(inner, F.lit(" "), F.lit("")))
+    plain = ~inner.rlike(r"\x20\x20|[\x09-\x0D]")
+    return (
+        F.when(~has_word(text) | text.isNull(), F.lit(0))
+        .when(plain, spaces + 1)
+        .otherwise(F.size(F.split(inner, f"{GAP}+")))
+    )
 
 
 def has_word(text: Column) -> Column:
-    return F.length(F.translate(text, GAP_CHARS, "")) > 0
+    """Whether a word is left of the text. Only the gap at its start is read."""
+    return F.ltrim(text, F.lit(GAP_CHARS)) != ""
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

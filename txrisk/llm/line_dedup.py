@@ -11,7 +11,7 @@ array whose longest common prefix is at least that long. A rank that only one
 suffix has ends that suffix's part: it shares no more with any other. Deciding
 deletions needs the order only as deep as the shortest run of ``min_words``
 words reaches, at most ``min_words`` lines, so the number of rounds does not
-grow with the data.
+grow with the data. Lines that stand in one place only drop out before that.
 
 A maximal repeated run is covered by its shortest runs of ``min_words`` words,
 those that begin at a line and those that end at one. Each is looked up in the
@@ -64,19 +64,22 @@ def suffixes(rows: DataFrame) -> DataFrame:
         word_count(F.col("x.l")).alias("n"),
     )
     order = ["_none", "doc_id", ROW, "pos"]
+    # Stored first: sorting by range reads its input twice, and splitting texts
+    # is the costly part.
     return stored(
-        lines.repartitionByRange(*order)
+        stored(lines, "lines")
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(F.monotonically_increasing_id().alias("at"), ROW, "pos", "line", "h1", "h2", "n"),
         "suffixes",
     )
 
 
-def ranked(pairs: DataFrame, label: str) -> DataFrame:
+def ranked(pairs: DataFrame, label: str, *further: str) -> DataFrame:
     """Rank of each suffix by its pair of keys, for suffixes that share it.
 
-    ``a``, ``b`` are the keys. Distinct shared pairs are sorted over all
-    partitions and numbered in order.
+    ``a``, ``b`` are the keys, ``further`` columns to keep. Distinct shared pairs
+    are sorted over all partitions and numbered in order.
     """
     shared = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     numbered = stored(
@@ -85,7 +88,7 @@ def ranked(pairs: DataFrame, label: str) -> DataFrame:
         .select("a", "b", F.monotonically_increasing_id().alias("rank")),
         f"{label}-pairs",
     )
-    return stored(pairs.join(numbered, ["a", "b"]).select(ROW, "pos", "at", "rank"), label)
+    return stored(pairs.join(numbered, ["a", "b"]).select(ROW, "pos", "at", "rank", *further), label)
 
 
 def doubled(ranks: DataFrame, length: int) -> DataFrame:
@@ -101,20 +104,27 @@ def doubled(ranks: DataFrame, length: int) -> DataFrame:
 
 def shortest_runs(lines: DataFrame, min_words: int) -> DataFrame:
     """The shortest runs with ``min_words`` words: from each line on, and up to
-    each line. ``pos`` and ``size`` place a run among the lines with a word,
-    ``first`` and ``last`` among all lines."""
-    before = F.sum("n").over(_in_row("pos").rowsBetween(Window.unboundedPreceding, -1))
-    starts = lines.withColumn("_before", F.coalesce(before, F.lit(0))).withColumn(
-        "_upto", F.col("_before") + F.col("n")
-    )
-    onward = _in_row("_before").rangeBetween(0, min_words - 1)
-    back = _in_row("_upto").rangeBetween(-(min_words - 1), 0)
-    total = F.max("_upto").over(Window.partitionBy(ROW))
+    each line. ``lines`` are those that stand in several places; no run with
+    another line has a copy, so each stretch of neighbours is looked at alone.
+    ``pos`` and ``size`` place a run among the lines with a word, ``first`` and
+    ``last`` among all lines."""
+    stretch = (ROW, "_stretch")
+    by_pos = Window.partitionBy(*stretch).orderBy("pos")
+    before = F.sum("n").over(by_pos.rowsBetween(Window.unboundedPreceding, -1))
+    starts = (
+        lines.withColumn("_stretch", F.col("pos") - F.row_number().over(_in_row("pos")))
+        .withColumn("_before", F.coalesce(before, F.lit(0)))
+        .withColumn("_upto", F.col("_before") + F.col("n"))
+        .withColumn("_total", F.sum("n").over(Window.partitionBy(*stretch)))
+        .filter(F.col("_total") >= min_words)
+    )
+    onward = Window.partitionBy(*stretch).orderBy("_before").rangeBetween(0, min_words - 1)
+    back = Window.partitionBy(*stretch).orderBy("_upto").rangeBetween(-(min_words - 1), 0)
     seen = starts.select(
         ROW,
         "pos",
         "line",
-        (F.col("_before") + min_words <= total).alias("_starts"),
+        (F.col("_before") + min_words <= F.col("_total")).alias("_starts"),
         (F.col("_upto") >= min_words).alias("_ends"),
         F.count(F.lit(1)).over(onward).cast("int").alias("_on"),
         F.max("line").over(onward).alias("_last"),
@@ -179,13 +189,13 @@ def joined_runs(copies: DataFrame) -> DataFrame:
 
 def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Per row with later copies, the lines to delete as ``deleted``."""
-    lines = suffixes(rows)
-    runs = shortest_runs(lines, min_words)
-    ranks = ranked(
-        lines.select(ROW, "pos", "at", F.col("h1").alias("a"), F.col("h2").alias("b")), "ranks-1"
-    )
-    copies, length = later_copies(runs, ranks, 1), 1
-    while 2 * length <= min_words and not ranks.isEmpty():
+    lines = suffixes(rows).withColumnsRenamed({"h1": "a", "h2": "b"})
+    shared = ranked(lines, "ranks-1", "line", "n")
+    runs = stored(shortest_runs(shared, min_words), "runs")
+    longest = runs.agg(F.max("size")).first()[0] or 0
+    ranks, length = shared.select(ROW, "pos", "at", "rank"), 1
+    copies = later_copies(runs, ranks, 1)
+    while 2 * length <= longest:
         ranks = ranked(doubled(ranks, length), f"ranks-{2 * length}")
         length *= 2
         copies = copies.unionByName(later_copies(runs, ranks, length))
@@ -212,13 +222,12 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     deleted = repeated_runs(rows, min_words)
     matched = rows.join(deleted, ROW, "left")
     count = F.size(F.filter(F.split(body_text(), "\n"), has_word)).cast("bigint")
-    cut = F.when(
-        F.col("deleted").isNotNull(), cut_lines(F.col("text"), F.col("deleted"))
-    ).otherwise(F.col("text"))
+    some = F.col("deleted").isNotNull()
+    cut = F.when(some, cut_lines(F.col("text"), F.col("deleted"))).otherwise(F.col("text"))
     return (
         matched.withColumn("n_lines", count)
         .withColumn("text", cut)
-        .withColumn("n_deleted", F.col("n_lines") - count)
+        .withColumn("n_deleted", F.when(some, F.col("n_lines") - count).otherwise(F.lit(0)))
         .drop(ROW)
     )
 
