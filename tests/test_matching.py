@@ -39,7 +39,8 @@ def test_left_join_counts(spark, sides):
                   cast(count(*) AS double) AS joined
            FROM t LEFT JOIN a ON t.transaction_id = a.transaction_id GROUP BY 1"""
     )
-    same(matching.joined_counts(*sides), expected)
+    sums = [F.sum(c).alias(c) for c in ("matched", "joined")]
+    same(matching.joined_rows(*sides).groupBy("transaction_id").agg(*sums), expected)
 
 
 def test_mark_join_counts(spark, sides):
@@ -48,41 +49,38 @@ def test_mark_join_counts(spark, sides):
            FROM (SELECT minute, transaction_id IN (SELECT transaction_id FROM a) AS alerted FROM t)
            GROUP BY minute"""
     )
-    marked = matching.marked_counts(*sides, minute=F.col("minute")).groupBy("minute").agg(
-        F.sum("rows").alias("n"),
-        F.sum(F.when(F.col("alerted"), F.col("rows")).otherwise(0)).alias("alerted"),
+    marked = matching.marked(*sides).groupBy("minute").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("alerted").alias("alerted")
     )
     same(marked, expected)
 
 
-def test_prefilter_keeps_every_partner(spark, sides):
+def test_only_alerts_are_counted_before_the_join(sides, plan_of):
     t, a = sides
-    kept = matching.may_match(a, t)
-    partners = a.join(t.select("transaction_id").distinct(), "transaction_id", "left_semi")
-    assert partners.select("transaction_id").exceptAll(kept).isEmpty()
-    assert kept.exceptAll(a.select("transaction_id")).isEmpty()
-    assert kept.count() < a.count()
-
-
-def test_prefilter_with_colliding_slots(spark, sides, monkeypatch):
-    """With fewer slots than ids the filter lets others pass, and loses none."""
-    monkeypatch.setattr(matching, "SLOTS", 128)
-    t, a = sides
-    same(
-        matching.joined_counts(t, matching.may_match(a, t)),
-        matching.joined_counts(t, a),
-    )
-
-
-@pytest.mark.parametrize("slots", [64, 256, 1024])
-def test_bit_table_is_bounded(spark, monkeypatch, slots):
-    monkeypatch.setattr(matching, "SLOTS", slots)
-    ids = spark.range(5000).select(F.col("id").cast("string").alias("transaction_id"))
-    assert matching.id_bits(ids).count() <= slots / 64
-    assert matching.may_match(ids, ids).count() == 5000
-
-
-def test_both_sides_are_counted_before_the_shuffle(sides, plan_of):
-    plan = plan_of(matching.joined_counts(*sides))
-    assert plan.count("partial_count(1)") >= 2
+    plan = plan_of(matching.joined_rows(t, a))
+    assert plan.count("partial_count(1)") == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert matching.joined_rows(t, a).count() == t.count()
+
+
+def test_alerts_are_filtered_by_the_period_where_they_are_read(spark, tmp_path, plan_of):
+    """Spark's own filter stands below the count of alerts per id."""
+    ids = spark.range(20_000).select(F.col("id").cast("string").alias("transaction_id"), "id")
+    ids.write.parquet(str(tmp_path / "t"))
+    ids.write.parquet(str(tmp_path / "a"))
+    t, a = (spark.read.parquet(str(tmp_path / n)) for n in "ta")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = matching.joined_rows(t.filter("id < 50"), a)
+        assert joined.agg(F.sum("matched")).first()[0] == 50
+        plan = plan_of(joined)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    # Nodes are described from the scans upwards.
+    assert plan.index("might_contain") < plan.index("partial_count(1)")

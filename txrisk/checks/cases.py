@@ -533,9 +533,8 @@ status_case("Acknowledged", "acknowledged = true")
              FROM transactions) AS t""",
 )
 def _(f: Fixture) -> DataFrame:
-    marked = matching.marked_counts(f.transactions, f.alerts)
-    alerted = F.when(F.col("alerted"), F.col("rows")).otherwise(F.lit(0))
-    return marked.agg(F.sum("rows").alias("total"), F.sum(alerted).alias("alerted"))
+    marked = matching.marked(f.transactions, f.alerts)
+    return marked.agg(F.count(F.lit(1)).alias("total"), F.count_if("alerted").alias("alerted"))
 
 
 # --- joins and subqueries --------------------------------------------------
@@ -550,7 +549,9 @@ def _(f: Fixture) -> DataFrame:
        GROUP BY t.transaction_id""",
 )
 def _(f: Fixture) -> DataFrame:
-    return matching.joined_counts(f.transactions, f.alerts)
+    joined = matching.joined_rows(f.transactions, f.alerts)
+    sums = [F.sum(c).alias(c) for c in ("matched", "joined")]
+    return joined.groupBy("transaction_id").agg(*sums)
 
 
 @case(
@@ -560,7 +561,8 @@ def _(f: Fixture) -> DataFrame:
        FROM transactions GROUP BY transaction_id""",
 )
 def _(f: Fixture) -> DataFrame:
-    return matching.marked_counts(f.transactions, f.alerts)
+    marked = matching.marked(f.transactions, f.alerts)
+    return marked.groupBy("transaction_id", "alerted").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @case("sub_01_scalar_subqueries", OVERVIEW_SQL)

@@ -1,93 +1,46 @@
 """Joins of transactions with alerts on ``transaction_id``.
 
-The id is not unique on either side, and alerts of any age count. Both sides
-are therefore reduced to one row per id before they meet: the partial counts
-run before the shuffle, so an id that holds a large share of the rows costs one
-row per task, and no pair of rows is ever formed. Spark picks the join by the
-sizes it meets at run time.
-
-When the transactions are those of a short period, alerts that cannot match are
-best dropped where they are read, before the shuffle (:func:`may_match`).
+The id is not unique on either side, and alerts of any age count. Alerts are
+therefore counted per id first, partially before the shuffle, and each
+transaction meets at most one row of counts; no pairs are formed. Because only
+the alert side is aggregated, Spark can put its own runtime filter on the ids of
+a short period below that aggregate, where alerts are read, and adaptive
+execution can split an id that holds a large share of the transactions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ID = "transaction_id"
 
-# Bits in the table of transaction ids. At 64 bits a row it has at most about a
-# million rows of two integers, whatever the number of ids.
-SLOTS = 1 << 26
-
-
-def _slot() -> tuple[Column, Column]:
-    """Row and bit of an id in the table."""
-    slot = F.pmod(F.xxhash64(ID), F.lit(SLOTS))
-    return F.shiftright(slot, 6), (slot % 64).cast("int")
-
-
-def id_bits(transactions: DataFrame) -> DataFrame:
-    """The ids as a bit table of bounded size: each id sets one bit."""
-    word, bit = _slot()
-    set_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
-    return transactions.groupBy(word.alias("word")).agg(F.bit_or(set_bit).alias("mask"))
-
-
-def may_match(alerts: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Ids of the alerts that may have a partner among the transactions.
-
-    An alert whose bit is not set has none; one whose bit is set may or may not
-    have one, which the join that follows decides. The more ids the
-    transactions have, the fewer alerts are dropped; the table does not grow.
-    """
-    word, bit = _slot()
-    return (
-        alerts.select(ID, word.alias("word"))
-        .join(F.broadcast(id_bits(transactions)), "word")
-        .filter(F.bit_get("mask", bit) == 1)
-        .select(ID)
-    )
-
 
 def alert_counts(alerts: DataFrame) -> DataFrame:
     """Alerts per transaction id."""
     return alerts.groupBy(ID).agg(F.count(F.lit(1)).alias("alerts"))
 
 
-def transaction_counts(transactions: DataFrame, **keys: Column) -> DataFrame:
-    """Rows per transaction id and further grouping keys."""
-    named = [column.alias(name) for name, column in keys.items()]
-    return transactions.groupBy(ID, *named).agg(F.count(F.lit(1)).alias("rows"))
+def with_alert_counts(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The transactions with ``alerts``, how many their id has, 0 for none."""
+    counted = transactions.join(alert_counts(alerts), ID, "left")
+    return counted.withColumn("alerts", F.coalesce("alerts", F.lit(0)))
 
 
-def joined_counts(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
-    """The left join of the two tables, counted per transaction id.
+def joined_rows(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The left join of the two tables, counted per transaction row.
 
     ``matched`` and ``joined`` are the numbers of rows the join yields with an
-    alert and in all. They are doubles: a product of two large counts need not
-    fit an integer.
+    alert and in all. They are doubles: sums of large counts need not fit an
+    integer.
     """
-    rows = F.col("rows").cast("double")
-    alerts_or_zero = F.coalesce("alerts", F.lit(0)).cast("double")
-    return (
-        transaction_counts(transactions)
-        .join(alert_counts(alerts), ID, "left")
-        .select(
-            ID,
-            (rows * alerts_or_zero).alias("matched"),
-            (rows * F.greatest(alerts_or_zero, F.lit(1.0))).alias("joined"),
-        )
+    n = F.col("alerts").cast("double")
+    return with_alert_counts(transactions, alerts).select(
+        ID, n.alias("matched"), F.greatest(n, F.lit(1.0)).alias("joined")
     )
 
 
-def marked_counts(transactions: DataFrame, alerts: DataFrame, **keys: Column) -> DataFrame:
-    """Rows per transaction id and keys, marked by whether the id has an alert.
-    Several alerts for one id do not multiply the rows."""
-    alerted_ids = alerts.select(ID).distinct().withColumn("alerted", F.lit(True))
-    return (
-        transaction_counts(transactions, **keys)
-        .join(alerted_ids, ID, "left")
-        .withColumn("alerted", F.coalesce("alerted", F.lit(False)))
-    )
+def marked(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+    """The transactions with ``alerted``, whether their id has an alert. Several
+    alerts for one id do not multiply the rows."""
+    return with_alert_counts(transactions, alerts).withColumn("alerted", F.col("alerts") > 0)

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.operators.matching import joined_counts, marked_counts, may_match
+from txrisk.operators.matching import joined_rows, marked
 from txrisk.operators.ranking import counts_by, ranked
 from txrisk.operators.recent import last_ingest, latest, recent
 from txrisk.schemas import TRANSACTIONS, Tables
@@ -48,7 +48,7 @@ def fraud_rate(
     """Percentage of joined rows that carry an alert, NULL without rows. A
     transaction with several alerts counts once for each."""
     window = recent(transactions, within, as_of)
-    joined = joined_counts(window, may_match(alerts, window))
+    joined = joined_rows(window, alerts)
     rate = 100.0 * F.sum("matched") / F.nullif(F.sum("joined"), F.lit(0.0))
     return joined.agg(F.round(rate, 2).alias("fraud_rate_pct"))
 
@@ -98,11 +98,10 @@ def activity_per_minute(
 ) -> DataFrame:
     """Transactions per minute, and how many of them have an alert."""
     window = recent(transactions, MINUTE_PERIOD, as_of)
-    alerted = F.when(F.col("alerted"), F.col("rows")).otherwise(F.lit(0))
     return (
-        marked_counts(window, may_match(alerts, window), minute=ingest_minute())
-        .groupBy("minute")
-        .agg(F.sum("rows").alias("total"), F.sum(alerted).alias("fraud"))
+        marked(window, alerts)
+        .groupBy(ingest_minute().alias("minute"))
+        .agg(F.count(F.lit(1)).alias("total"), F.count_if("alerted").alias("fraud"))
         .orderBy("minute")
     )
 

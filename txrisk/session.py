@@ -7,9 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# The two sizes let Spark filter the alerts of all ages by the ids of a busy
+# period before they are shuffled; its own limit for the period's side is 10 MB.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "10g",
 }
 
 
