@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from txrisk.checks.fixtures import Fixture
 from txrisk.operators import routing
 from txrisk.schemas import DLQ_MESSAGES, FRAUD_ALERTS, POSITION, TRANSACTIONS
+from txrisk.sources.database import create_script, create_statement
 from txrisk.sources.tables import read_jdbc
 from txrisk.streaming import sinks
 
@@ -139,3 +140,25 @@ def test_batch_that_is_stored_already(parts, written, stored):
     rows["fraud_alerts"] = batch.select(*POSITION)
     sinks.jdbc_sink(URL, PROPERTIES)(batch, FRAUD_ALERTS, 0, 1)
     assert written[-1][-1].isEmpty()
+
+
+@pytest.mark.parametrize("table", [TRANSACTIONS, FRAUD_ALERTS, DLQ_MESSAGES])
+def test_database_tables_follow_the_contract(table):
+    plain = create_statement(table, replay_safe=False)
+    assert plain.startswith(f"CREATE TABLE IF NOT EXISTS {table.name} (")
+    names = [line.split()[0].strip('"') for line in plain.split("\n")[1:-1]]
+    assert names == table.columns
+    for name in set(table.required) - {"id"}:
+        assert f'"{name}" TEXT NOT NULL' in plain
+    safe = create_statement(table)
+    for name in (*POSITION, "batch_id"):
+        assert safe.count(f'"{name}" ') == 1
+    assert "UNIQUE (kafka_partition, kafka_offset)" in safe and "UNIQUE" not in plain
+
+
+def test_database_types_and_defaults():
+    script = create_script()
+    assert script.count("CREATE TABLE IF NOT EXISTS") == 3
+    assert '"amount" NUMERIC(14,2)' in script
+    assert '"acknowledged" BOOLEAN DEFAULT FALSE' in script
+    assert script.count('"ingested_at" TIMESTAMPTZ DEFAULT now()') == 3

@@ -37,6 +37,7 @@ def test_arguments():
     )
     assert (args.topic, args.root) == ("transactions", "/data")
     assert args.source_option == ["maxOffsetsPerTrigger=1000"]
+    assert (args.interval, args.plain_append) == ("5 seconds", False)
 
 
 def test_one_target_is_required():

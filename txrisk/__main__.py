@@ -13,7 +13,7 @@ import os
 from txrisk.session import build_session
 from txrisk.sources.messages import topic_stream
 from txrisk.sources.tables import create_tables
-from txrisk.streaming.job import run, start
+from txrisk.streaming.job import TRIGGER, run, start
 from txrisk.streaming.sinks import jdbc_sink, parquet_sink
 
 
@@ -27,6 +27,11 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     target.add_argument("--jdbc-url", help="database of the tables")
     parser.add_argument("--jdbc-user", default="")
     parser.add_argument("--jdbc-driver", default="org.postgresql.Driver")
+    parser.add_argument(
+        "--plain-append", action="store_true",
+        help="database tables hold the contract's columns only; a retried batch repeats rows",
+    )
+    parser.add_argument("--interval", default=TRIGGER, help="time between batches")
     parser.add_argument(
         "--source-option", action="append", default=[], metavar="NAME=VALUE",
         help="further option of the topic source, may be repeated",
@@ -47,10 +52,10 @@ def main(argv: list[str] | None = None) -> None:
             "password": os.environ.get("JDBC_PASSWORD", ""),
             "driver": args.jdbc_driver,
         }
-        sink = jdbc_sink(args.jdbc_url, properties)
+        sink = jdbc_sink(args.jdbc_url, properties, replay_safe=not args.plain_append)
     options = dict(option.split("=", 1) for option in args.source_option)
     raw = topic_stream(spark, args.servers, args.topic, **options)
-    run(spark, start(raw, sink, args.checkpoint))
+    run(spark, start(raw, sink, args.checkpoint, interval=args.interval))
 
 
 if __name__ == "__main__":

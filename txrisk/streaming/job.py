@@ -76,13 +76,15 @@ def start(
     rows_per_task: int = ROWS_PER_TASK,
     stamp: Column | None = None,
     available_now: bool = False,
+    interval: str = TRIGGER,
 ) -> StreamingQuery:
     """Start the query on an envelope stream.
 
     ``available_now`` processes what is there and ends, instead of polling
-    every five seconds. ``stamp`` replaces the ingest time.
+    every ``interval``; a longer one gives fewer, larger files. ``stamp``
+    replaces the ingest time.
     """
-    trigger = {"availableNow": True} if available_now else {"processingTime": TRIGGER}
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
         transactions(raw, stamp)
         .writeStream.foreachBatch(batch_writer(sink, tables, rules, rows_per_task))
