@@ -7,7 +7,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.functions.rules import fraud_reason
 from txrisk.operators.routing import (
     alerts,
     facts,
@@ -109,10 +108,6 @@ class Fixture:
     def valid(self) -> DataFrame:
         return self.parsed.filter(has_ids())
 
-    @cached_property
-    def scored(self) -> DataFrame:
-        return self.valid.withColumn("fraud_reason", fraud_reason())
-
     def table(self, name: str, rows: DataFrame) -> DataFrame:
         """Rows as a database table returns them."""
         table = TABLES[name]
