@@ -17,8 +17,10 @@ What is asked for are components, so no block is expanded into all its pairs:
 1. Blocks of each document's first few shared shingles give a spanning forest of
    their surviving pairs, best bounds first; these pairs are verified and the
    components of the links computed.
-2. In the blocks that still hold several components, every surviving pair between
-   two components is verified. After that no link between components is left.
+2. In the blocks that still hold several components, the surviving pairs between
+   two components are counted. A pair is verified if the number of blocks it
+   shares leaves room for a link: documents that share a passage only do not
+   reach that. After that no link between components is left.
 
 A block of more than ``block`` points is dealt over tasks by a hash. In step 1
 its smallest point joins every part, which ties the parts of one group of copies
@@ -35,7 +37,7 @@ component_id; repeated rows are equal sets; an empty table gives an empty result
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -238,10 +240,11 @@ def forest_pairs(tree: RTree) -> list[tuple[int, int]]:
     return found
 
 
-def crossing_pairs(tree: RTree, component: np.ndarray, part: np.ndarray) -> list[tuple[int, int]]:
+def crossing_pairs(
+    tree: RTree, component: np.ndarray, part: np.ndarray, two_parts: bool
+) -> list[tuple[int, int]]:
     """Surviving pairs between components. Of two different parts, pairs inside
     one are left to the task where that part meets itself."""
-    two_parts = len(np.unique(part)) > 1
     found = []
     for i in range(1, len(component)):
         near = tree.survivors(tree.points[i], tree.sizes[i], i)
@@ -252,65 +255,146 @@ def crossing_pairs(tree: RTree, component: np.ndarray, part: np.ndarray) -> list
     return found
 
 
-def _block_pairs(
-    rows: DataFrame, join: Join, pairs: Callable[[RTree, dict[str, np.ndarray]], list]
-) -> DataFrame:
-    """Distinct pairs ``a`` < ``b`` of sets from blocks. ``rows`` has ``block``
-    keys x, y, z and set, n, point, component and part; a task goes through its
-    blocks one after the other."""
-    keys = ["x", "y", "z"]
+def page_pairs(first: np.ndarray, at_once: int = 50_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the same page, some at a time. Pages are runs of rows, and
+    ``first`` is the first row of each row's page."""
+    ends = np.cumsum(np.arange(len(first)) - first)
+    start = 0
+    while start < len(first):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + at_once, "right")))
+        rows = np.arange(start, stop)
+        i = np.repeat(rows, rows - first[rows])
+        j = first[i] + np.arange(len(i)) - (ends[i] - (i - first[i]) - done)
+        yield i, j
+        start = stop
+
+
+def spanning(i: np.ndarray, j: np.ndarray, quality: np.ndarray) -> np.ndarray:
+    """Which of the pairs, best first, connect what was not connected."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    chosen = []
+    for k in np.argsort(-quality, kind="stable").tolist():
+        left, right = root(int(i[k])), root(int(j[k]))
+        if left != right:
+            parent[left] = right
+            chosen.append(k)
+    return np.array(chosen, int)
+
+
+def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
+    """Pairs ``a`` < ``b`` of sets with their sizes, one row per block with a
+    surviving pair. ``rows`` has ``block`` keys x, y, z and set, n, point,
+    component and part. With ``forest`` a block gives a spanning forest of its
+    pairs, otherwise all between components. Blocks that fit on one page of the
+    tree are many, so a task compares the points of many such pages at once."""
+    keys, page = ["x", "y", "z"], 32
     columns = [*keys, "set", "n", "component", "part", "point"]
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-        """Runs of rows with equal keys, a run that batches cut put together."""
-        kept: list[dict[str, np.ndarray]] = []
-
-        def whole() -> dict[str, np.ndarray]:
-            return {c: np.concatenate([k[c] for k in kept]) for c in columns}
-
+        """Whole blocks, several at once; a block that batches cut is put together."""
+        rest: dict[str, np.ndarray] | None = None
         for batch in batches:
             now = {c: batch.column(i).to_numpy(zero_copy_only=False) for i, c in enumerate(columns)}
-            ends = np.flatnonzero(
-                np.any([now[c][1:] != now[c][:-1] for c in keys], axis=0)
-            ) + 1 if batch.num_rows > 1 else np.empty(0, int)
-            edges = [0, *ends.tolist(), batch.num_rows]
-            for start, end in zip(edges, edges[1:]):
-                if start == end:
-                    continue
-                piece = {c: v[start:end] for c, v in now.items()}
-                if kept and any(piece[c][0] != kept[-1][c][-1] for c in keys):
-                    yield whole()
-                    kept.clear()
-                kept.append(piece)
-        if kept:
-            yield whole()
+            if rest is not None:
+                now = {c: np.concatenate([rest[c], v]) for c, v in now.items()}
+            last = np.ones(batch.num_rows if rest is None else len(now["x"]), bool)
+            for c in keys:
+                last &= now[c] == now[c][-1:]
+            cut = len(last) - int(last.sum())
+            if cut:
+                yield {c: v[:cut] for c, v in now.items()}
+            rest = {c: v[cut:] for c, v in now.items()}
+        if rest is not None:
+            yield rest
+
+    def small(block: dict[str, np.ndarray], points: np.ndarray, first: np.ndarray) -> list:
+        n, found = block["n"], []
+        for i, j in page_pairs(first):
+            fits = 100 * np.minimum(n[i], n[j]) >= join.percent * np.maximum(n[i], n[j])
+            if not forest:
+                fits &= block["component"][i] != block["component"][j]
+                fits &= (block["y"][i] == block["z"][i]) | (block["part"][i] != block["part"][j])
+            i, j = i[fits], j[fits]
+            bound = np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64)
+            fits = (100 + join.percent) * bound >= join.percent * (n[i] + n[j])
+            i, j, bound = i[fits], j[fits], bound[fits]
+            if forest:
+                chosen = spanning(i, j, bound / (n[i] + n[j] - bound))
+                i, j = i[chosen], j[chosen]
+            found.append((i, j))
+        return found
+
+    def large(block: dict[str, np.ndarray], points: np.ndarray) -> list:
+        tree = RTree(points, block["n"], join.percent, page)
+        if forest:
+            return forest_pairs(tree)
+        two_parts = bool(block["y"][0] != block["z"][0])
+        return crossing_pairs(tree, block["component"], block["part"], two_parts)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            _, once = np.unique(block["set"], return_index=True)
-            if len(once) < 2:
-                continue
-            order = once[np.lexsort([block["set"][once], block["n"][once]])]
+            order = np.lexsort([block["set"], block["n"], *(block[c] for c in reversed(keys))])
             block = {c: v[order] for c, v in block.items()}
-            points = np.stack([np.frombuffer(p, "<u4") for p in block["point"]])
-            found = pairs(RTree(points, block["n"], join.percent), block)
-            if found:
-                i, j = np.array(found).T
+            opens = np.ones(len(order), bool)
+            opens[1:] = np.any([block[c][1:] != block[c][:-1] for c in keys], axis=0)
+            once = opens.copy()
+            once[1:] |= block["set"][1:] != block["set"][:-1]
+            block, opens = {c: v[once] for c, v in block.items()}, opens[once]
+            starts = np.flatnonzero(opens)
+            members = np.diff([*starts, len(opens)])
+            fine = np.repeat(members <= page, members)
+            points = np.frombuffer(b"".join(block["point"]), "<u4").reshape(len(opens), -1)
+            short = members[members <= page]
+            first = np.repeat(np.cumsum(short) - short, short)
+            at = np.flatnonzero(fine)
+            found = [
+                (at[i], at[j])
+                for i, j in small({c: v[fine] for c, v in block.items()}, points[fine], first)
+            ]
+            for start, count in zip(starts[members > page], members[members > page]):
+                part = slice(start, start + count)
+                pairs = large({c: v[part] for c, v in block.items()}, points[part])
+                if pairs:
+                    found.append(tuple(start + np.array(pairs).T))
+            for i, j in found:
+                if not len(i):
+                    continue
+                flip = block["set"][i] > block["set"][j]
+                a, b = np.where(flip, j, i), np.where(flip, i, j)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.minimum(block["set"][i], block["set"][j])),
-                        pa.array(np.maximum(block["set"][i], block["set"][j])),
-                    ],
-                    names=["a", "b"],
+                    [pa.array(block[c][k]) for c, k in (("set", a), ("set", b), ("n", a), ("n", b))],
+                    names=["a", "b", "n_a", "n_b"],
                 )
 
     return (
         rows.select(*columns)
         .repartition(*keys)
         .sortWithinPartitions(*keys)
-        .mapInArrow(scan, "a bigint, b bigint")
-        .distinct()
+        .mapInArrow(scan, "a bigint, b bigint, n_a bigint, n_b bigint")
+    )
+
+
+def _sharing_enough(found: DataFrame, join: Join) -> DataFrame:
+    """Pairs that occur in as many blocks as a link needs.
+
+    A pair is found once per shared shingle of the prefixes. Up to the earlier of
+    both prefix ends these are all that the sets share, and after it one of the
+    sets has ``ceil(0.8 n) - 1`` shingles left; together they bound the overlap.
+    """
+    counted = found.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")
     )
+    after = F.expr(f"({join.percent} * greatest(n_a, n_b) + 99) div 100 - 1")
+    enough = (100 + join.percent) * (F.col("_n") + after) >= join.percent * (F.col("n_a") + F.col("n_b"))
+    return counted.filter(enough).select("a", "b")
 
 
 def _parted(rows: DataFrame, sizes: DataFrame, join: Join) -> DataFrame:
@@ -419,7 +503,8 @@ def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         )
     )
     members = sets.select("set", "text_id")
-    tried = stored(_block_pairs(step_one, join, lambda t, _: forest_pairs(t)), "pairs")
+    tried = _block_pairs(step_one, join, forest=True).select("a", "b").distinct()
+    tried = stored(tried, "pairs")
     links = stored(_verified(tried, docs, members, join), "verified")
     found = connected(links)
 
@@ -444,9 +529,7 @@ def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
             F.greatest(own, other).alias("z"), "set", "n", "component", "part", "point",
         )
     )
-    crossing = _block_pairs(
-        step_two, join, lambda t, b: crossing_pairs(t, b["component"], b["part"])
-    )
+    crossing = _sharing_enough(_block_pairs(step_two, join, forest=False), join)
     untried = stored(crossing.join(tried, ["a", "b"], "left_anti"), "pairs")
     if untried.isEmpty():
         return found
