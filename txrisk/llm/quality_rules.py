@@ -6,13 +6,13 @@ and hashed, the distinct documents with a line are counted per host (the
 ``source``), lines above the limit are removed, and a document that loses most
 of its words is rejected as depleted.
 
-Copies of one document do not make its lines boilerplate: documents in which a
-line stands between the same two lines count once. Boilerplate meets a
-different neighbour in each document, a copied article the same one.
+Copies of one document do not make its lines boilerplate: documents of a host
+with the same text, known by its hash, count once. Where a line stands, and
+next to which others, does not matter.
 
-Only built-in functions are used. Line counts are combined before each shuffle,
-so a line that a third of all documents hold costs one row per task and
-context; the join that finds the lines to remove is an inner join that adaptive
+Only built-in functions are used. Holders are first reduced by host, line and
+text, which spreads a line that a third of all documents hold over all tasks,
+and then counted before the shuffle by line; the join that finds the lines to remove is an inner join that adaptive
 execution can split.
 
 Defined results: a NULL text is empty and a NULL source is the host ``""``;
@@ -134,8 +134,8 @@ def _row_key() -> list[Column]:
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """One row per document and distinct normalised line, with the line's
-    neighbours where it first stands and its words in the whole document."""
+    """One row per document and distinct normalised line, with the words of the
+    line where it first stands."""
 
     def first_of_each(items: Column) -> Column:
         return F.filter(
@@ -152,7 +152,6 @@ def document_lines(docs: DataFrame) -> DataFrame:
                         lambda h, k: F.struct(
                             h.alias("line"),
                             k.alias("k"),
-                            F.xxhash64(F.get(hs, k - 1), F.get(hs, k + 1)).alias("between"),
                             word_count(F.get(ls, k)).alias("words"),
                         ),
                     )
@@ -164,7 +163,7 @@ def document_lines(docs: DataFrame) -> DataFrame:
     lines = bind(_lines(body_text()), located)
     host = F.coalesce(F.col("source"), F.lit("")).alias("host")
     return docs.select(*_row_key(), host, F.explode(lines).alias("at")).select(
-        "_id", "_text", "host", "at.line", "at.between", "at.words"
+        "_id", "_text", "host", "at.line", "at.words"
     )
 
 
@@ -175,7 +174,7 @@ def frequent_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     )
     held = (
         document_lines(docs)
-        .groupBy("host", "line", "between")
+        .groupBy("host", "line", "_text")
         .agg(F.lit(1))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("holders"))
