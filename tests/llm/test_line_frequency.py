@@ -20,3 +20,16 @@ def test_every_line_of_a_block_is_counted(documents):
     rows += [(200 + i, f"{prose(999)}\n{prose(998)}", "h") for i in range(30)]
     kept = {r.doc_id: r.text for r in quality_rules.kept_documents(documents(rows)).collect()}
     assert kept == {r[0]: r[1].removesuffix("\n" + FOOTER) for r in rows}
+
+
+def test_the_share_decides_in_small_sources_too(documents):
+    rows = [(i, f"{prose(i)}\n{FOOTER}", "ten") for i in range(10)]
+    rows += [(100 + i, prose(7000 + i) + f"\n{FOOTER}" * (i < 3), "many") for i in range(140)]
+    rows += [(300 + i, prose(8000 + i) + f"\n{FOOTER}" * (i < 3), "more") for i in range(160)]
+    rows += [(500 + i, prose(9000 + i) + f"\n{FOOTER}" * (i < 2), "few") for i in range(5)]
+    rows += [(600 + i, f"{prose(9500)}\n{prose(9600 + i, 5)}", "small") for i in range(4)]
+    found = {r.doc_id: r for r in quality_rules.quality_rules(documents(rows)).collect()}
+    cut = {i for i, r in found.items() if r.removed_words}
+    assert cut == {*range(10), 100, 101, 102, *range(600, 604)}
+    # a document that is nothing but a line of its source is depleted
+    assert {i for i, r in found.items() if not r.kept} == {*range(600, 604)}

@@ -32,12 +32,14 @@ from txrisk.llm.common import GAP_CHARS, bind, body_text, has_word, word_count,
 
 @dataclass(frozen=True)
 class Limits:
-    """A line is removed when more than ``host_share`` of its host's documents,
-    and more than ``least`` of them, hold it. A document is depleted when less
-    than ``kept_share`` of its words remain."""
+    """A line is removed when more than ``host_share`` of its host's documents
+    hold it. ``least`` only keeps one document, or a document and an edited
+    copy, from making a line frequent where the share is less than that: more
+    than ``least`` documents must hold it. A document is depleted when less than
+    ``kept_share`` of its words remain."""
 
     host_share: float = 0.02
-    least: int = 20
+    least: int = 2
     kept_share: float = 0.2
 
 
