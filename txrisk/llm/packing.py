@@ -50,7 +50,7 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)]
 
 
-def word_encoder(path: str) -> Encode:
+def word_encoder(path: str, added_tokens: bool = False) -> Encode:
     """Ids of a text, as little-endian 32-bit integers, from a word-level
     tokenizer, one whose rules never look across white space.
 
@@ -59,13 +59,20 @@ def word_encoder(path: str) -> Encode:
     a token of its own, so both can be done on the bytes. A word of Latin
     letters goes straight to the vocabulary's model, any other through the
     whole tokenizer.
+
+    With ``added_tokens`` the text of an added token, such as an end mark, gets
+    that token's id, as the library does by itself; a text that may hold one is
+    tokenized whole. Without, it is text like any other.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = not added_tokens
     model, letters = tokenizer.model, _byte_letters()
     known: dict[bytes, bytes] = {}
+    # Compared without case: some tokenizers fold a text before they look.
+    marks = [t.content.encode().lower() for t in tokenizer.get_added_tokens_decoder().values()]
+    marks = marks if added_tokens else []
 
     def as_bytes(ids: list[int]) -> bytes:
         return b"".join(i.to_bytes(ID_BYTES, "little") for i in ids)
@@ -89,7 +96,10 @@ def word_encoder(path: str) -> Encode:
         return ids
 
     def encode(text: str) -> bytes:
-        found = text.encode("utf-8", "replace").lower().split()
+        folded = text.encode("utf-8", "replace").lower()
+        if any(mark in folded for mark in marks):
+            return as_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
+        found = folded.split()
         if len(known) > KEPT_WORDS:
             known.clear()
         for word in set(found):
@@ -99,12 +109,13 @@ def word_encoder(path: str) -> Encode:
     return encode
 
 
-def worker_encoder(path: str) -> Encode:
+def worker_encoder(path: str, added_tokens: bool = False) -> Encode:
     """The encoder that this worker process keeps from task to task."""
     kept = sys.modules.setdefault("_kept_encoders", types.ModuleType("_kept_encoders"))
-    if path not in kept.__dict__:
-        kept.__dict__[path] = word_encoder(path)
-    return kept.__dict__[path]
+    key = f"{added_tokens} {path}"
+    if key not in kept.__dict__:
+        kept.__dict__[key] = word_encoder(path, added_tokens)
+    return kept.__dict__[key]
 
 
 PIECES = (
@@ -114,7 +125,13 @@ PIECES = (
 
 
 def pieces(
-    docs: DataFrame, tokenizer: str, length: int, end_id: int, groups: int, with_ids: bool
+    docs: DataFrame,
+    tokenizer: str,
+    length: int,
+    end_id: int,
+    groups: int,
+    with_ids: bool,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Pieces of all documents. ``full_id`` numbers the full ones, ``item`` is
     the document's row number and ``_group`` its group."""
@@ -125,7 +142,7 @@ def pieces(
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = worker_encoder(tokenizer)
+        encode = worker_encoder(tokenizer, added_tokens)
         next_full = TaskContext.get().partitionId() << 33
         for batch in batches:
             columns = batch.columns
@@ -197,11 +214,14 @@ def pack(
     end_id: int = END_ID,
     group: int = GROUP,
     with_ids: bool = False,
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset``; with
-    ``with_ids`` also the token ids as little-endian 32-bit integers."""
+    ``with_ids`` also the token ids as little-endian 32-bit integers. For
+    ``added_tokens`` see :func:`word_encoder`."""
     groups = max(1, -(-docs.count() // group))
-    cut = stored(pieces(docs, tokenizer, length, end_id, groups, with_ids), "pieces")
+    cut = pieces(docs, tokenizer, length, end_id, groups, with_ids, added_tokens)
+    cut = stored(cut, "pieces")
     result = ["start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
     kind = docs.schema["doc_id"].dataType.simpleString()
     # Full pieces are numbered from 2 ** 62 on, above all numbers of groups.

@@ -65,7 +65,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, added_tokens=True)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
