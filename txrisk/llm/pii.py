@@ -38,6 +38,21 @@ IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![+0-9().-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])")
 
+# Characters of an account number by country code.
+IBAN_LENGTHS = {
+    code: int(length)
+    for length, codes in (
+        x.split(":") for x in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK"
+            " 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL"
+            " 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR"
+            " 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA"
+            " 30:JO,KW,MU 31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for code in codes.split(",")
+}
+
 WORD = re.compile(r"[^\W\d_]+")
 CONTEXT = {
     "iban": {"iban", "account", "konto", "compte", "cuenta", "bank", "banque", "banco"},
@@ -128,23 +143,39 @@ def context_score(kind: str, text: str, start: int, end: int) -> float:
     return CONTEXT_BONUS if hit else 0.0
 
 
+def iban_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Valid account numbers. The pattern may run on into the next words, so a
+    number may end at any space of the proposal: first where its country's
+    length says, then at the last end that is valid. After a proposal without
+    a valid end the search goes on inside it."""
+    at = 0
+    while m := IBAN.search(text, at):
+        start, at = m.start(), m.start() + 1
+        ends = [m.end(), *(k for k in range(m.end() - 1, start, -1) if text[k] == " ")]
+        proposed = [(end, text[start:end].replace(" ", "")) for end in ends]
+        known = IBAN_LENGTHS.get(m[0][:2])
+        for end, compact in sorted(proposed, key=lambda x: len(x[1]) != known):
+            if 15 <= len(compact) <= 34 and mod97(compact):
+                yield start, end
+                at = end
+                break
+
+
 def scored_spans(text: str, taken: list[Span]) -> list[Span]:
     """Spans of the further kinds whose score reaches the limit and that do not
     overlap a base span."""
     blocked = sorted((s.start, s.end) for s in taken)
     found = []
-    for kind, pattern in (("iban", IBAN), ("ssn", SSN), ("local_phone", LOCAL_PHONE)):
-        for m in pattern.finditer(text):
-            score = PATTERN_SCORE[kind] + context_score(kind, text, *m.span())
-            if kind == "iban":
-                compact = m[0].replace(" ", "")
-                if not 15 <= len(compact) <= 34 or not mod97(compact):
-                    continue
-                score += CHECKSUM_BONUS
-            elif kind == "ssn" and not _valid_ssn(m[0]):
-                continue
-            if score >= ACCEPT and not any(a < m.end() and m.start() < b for a, b in blocked):
-                found.append(Span(kind, *m.span(), min(1.0, score)))
+    proposed = (
+        ("iban", iban_spans(text), CHECKSUM_BONUS),
+        ("ssn", (m.span() for m in SSN.finditer(text) if _valid_ssn(m[0])), 0.0),
+        ("local_phone", (m.span() for m in LOCAL_PHONE.finditer(text)), 0.0),
+    )
+    for kind, spans, bonus in proposed:
+        for start, end in spans:
+            score = PATTERN_SCORE[kind] + context_score(kind, text, start, end) + bonus
+            if score >= ACCEPT and not any(a < end and start < b for a, b in blocked):
+                found.append(Span(kind, start, end, min(1.0, score)))
     return found
 
 
