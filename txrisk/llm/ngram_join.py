@@ -537,8 +537,8 @@ def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     return connected(links.unionByName(more))
 
 
-def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """doc_id, n_shingles and component_id per document, and ``text_id``."""
+def document_components(docs: DataFrame, join: Join) -> DataFrame:
+    """doc_id, text_id, n and ``_component``, the component of its set, per document."""
     sets = document_sets(docs, join)
     found = set_components(docs, sets, join)
     rows = (
@@ -546,7 +546,12 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
         .join(found, F.col("set") == F.col("node"), "left")
         .select("doc_id", "text_id", "n", F.coalesce("component", "set").alias("_component"))
     )
-    rows = stored(rows, "set-components")
+    return stored(rows, "set-components")
+
+
+def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """doc_id, n_shingles and component_id per document, and ``text_id``."""
+    rows = document_components(docs, join)
     least = (
         rows.filter("n > 0").groupBy("_component").agg(F.min("doc_id").alias("component_id"))
     )
@@ -558,20 +563,32 @@ def ngram_join(docs: DataFrame, join: Join = Join()) -> DataFrame:
 
 
 def representatives(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """The documents without near duplicates: of each component that with the
-    smallest id stays, of rows that repeat it the one with the smallest text.
-    Documents without an id or without words stay."""
-    found = ngram_join(docs, join)
+    """The documents without near duplicates: of each component of sets one row
+    stays, that with the smallest id (NULL last), then text hash, then other
+    columns. Documents without words stay."""
+    found = document_components(docs, join).filter("n > 0")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_id", "copies")).alias("first")
     stays = (
-        found.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-        .filter(F.col("doc_id") == F.col("component_id"))
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.min("text_id").alias("_text"))
+        found.groupBy("_component", "doc_id", "text_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .groupBy("_component")
+        .agg(first)
+        .select(
+            F.col("first.doc_id").alias("_id"),
+            F.col("first.text_id").alias("_text"),
+            F.col("first.copies").alias("_copies"),
+        )
     )
+    stays = stored(stays, "representatives")
     has_words = F.length(F.translate(body_text(), " \t\n\x0b\f\r", "")) > 0
-    judged = docs.filter(F.col("doc_id").isNotNull() & has_words)
-    kept = judged.join(
-        stays, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(body_text()) == F.col("_text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(body_text()) == F.col("_text"))
+    kept = docs.filter(has_words).join(stays, same)
+    single = kept.filter("_copies = 1").select(*docs.columns)
+    # Rows that repeat id and text are reduced before they are shuffled.
+    repeated = (
+        kept.filter("_copies > 1")
+        .groupBy("_id", "_text")
+        .agg(F.min(F.struct(*docs.columns)).alias("_row"))
+        .select("_row.*")
     )
-    others = docs.filter(F.col("doc_id").isNull() | ~has_words)
-    return kept.select(*docs.columns).unionByName(others)
+    return single.unionByName(repeated).unionByName(docs.filter(~has_words))
