@@ -1,0 +1,92 @@
+"""Token counts against the libraries, and what the cache is asked and told."""
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from txrisk.llm import token_counts as tc
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+DOCS = "doc_id BIGINT, text STRING, digest STRING, n_tokens INT, tokenizer STRING, run INT"
+
+TEXTS = [
+    (1, "Hello  world\r\n\ttabs"), (2, None), (3, ""), (4, "<s>a</s> <|endoftext|> <unk>"),
+    (5, "naïve ☃ \U0001f600 é \x00 end"), (6, "word " * 6000), (7, "x" * 30_000),
+    (1, "same id, other text"), (1, "Hello  world\r\n\ttabs"), (None, "no id"), (8, " "),
+]
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(*r, "d", 1, "t", 2) for r in rows], DOCS)
+
+
+def counted(spark, rows, tokenizer, cache, **more):
+    found = tc.token_counts(docs(spark, rows), tokenizer, cache, **more)
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def expected(rows, count):
+    out = [(d, len((t or "").encode()), count(t or "")) for d, t in rows]
+    return sorted(((*r, r[2] > 4096) for r in out), key=repr)
+
+
+def pieces(text):
+    return len(SentencePieceProcessor(model_file=PIECES).encode(text))
+
+
+def byte_pairs(text):
+    return len(Tokenizer.from_file(BYTES).encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("few", [0, 100])
+@pytest.mark.parametrize("tokenizer, count", [(PIECES, pieces), (BYTES, byte_pairs)])
+def test_counts_are_the_librarys(spark, tmp_path, tokenizer, count, few):
+    got = counted(spark, TEXTS, tokenizer, str(tmp_path / "cache"), few=few)
+    assert got == expected(TEXTS, count)
+    assert any(over for *_, over in got)
+
+
+def stored(spark, cache):
+    return spark.read.parquet(cache)
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_only_distinct_misses_are_encoded(spark, tmp_path, few):
+    cache = str(tmp_path / "cache")
+    counted(spark, TEXTS * 20, PIECES, cache, few=few)
+    # NULL and empty are one text.
+    distinct = len({t or "" for _, t in TEXTS})
+    assert stored(spark, cache).count() == distinct
+    more = [*TEXTS, (20, "new text"), (21, "new text")]
+    assert counted(spark, more, PIECES, cache, few=few) == expected(more, pieces)
+    assert stored(spark, cache).count() == distinct + 1
+    # Nothing new: no folder is added.
+    assert counted(spark, more, PIECES, cache, few=few) == expected(more, pieces)
+    assert stored(spark, cache).select("run").distinct().count() == 2
+    # Another tokenizer has counts of its own.
+    assert counted(spark, more, BYTES, cache, few=few) == expected(more, byte_pairs)
+    assert stored(spark, cache).count() == 2 * (distinct + 1)
+
+
+def test_counts_come_from_the_cache(spark, tmp_path):
+    """A stored count is taken as it is, also if it is stored twice."""
+    cache = str(tmp_path / "cache")
+    version = tc.tokenizer_version(*tc.tokenizer_file(PIECES))
+    fake = docs(spark, [(1, "known")]).selectExpr("unhex(sha2(text, 256)) AS digest", "77L AS n_tokens")
+    for run in ("a", "b"):
+        fake.write.parquet(f"{cache}/tokenizer={version}/run={run}")
+    got = counted(spark, [(1, "known"), (2, "known"), (3, "a")], PIECES, cache)
+    assert got == [(1, 5, 77, False), (2, 5, 77, False), (3, 1, 1, False)]
+
+
+def test_empty_table(spark, tmp_path):
+    assert counted(spark, [], PIECES, str(tmp_path / "cache")) == []
+    assert not (tmp_path / "cache").exists()
+
+
+def test_version_names_library_and_file():
+    kind, content = tc.tokenizer_file(PIECES)
+    assert kind == "sentencepiece" and tc.tokenizer_file(BYTES)[0] == "tokenizers"
+    assert tc.tokenizer_version(kind, content) != tc.tokenizer_version(kind, content + b" ")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.llm import (
+    filter_audit,
     html_text,
     line_dedup,
     mixing,
@@ -18,6 +19,8 @@ from txrisk.llm import (
     pii,
     quality_classifier,
     quality_rules,
+    spelling_variants,
+    token_counts,
     vector_search,
     warc,
 )
@@ -25,6 +28,7 @@ from txrisk.llm.common import table
 from txrisk.session import scratch_dir
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+COUNTED_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,11 +88,30 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filter_audit.documents_with_filters(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    lost = {"good_lost": "good", "toxic_lost": "toxic"}
+    return filter_audit.filter_audit(rows, "ABCDE", lost)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache is new, so every distinct text is encoded."""
+    cache = scratch_dir(spark, "token-counts")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), COUNTED_TOKENIZER, cache)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_join, op2_quality_classifier, op3_vector_search, op4_pii, op5_html_text,
         op6_quality_rules, op7_mixing, op8_packing, op9_warc, op10_line_dedup,
+        op11_filter_audit, op12_spelling_variants, op13_token_counts,
     )
 }
 
@@ -198,4 +221,58 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND NOT n_words - removed_words < 0.2 * n_words AS kept
         FROM judged""",
+    "op11_filter_audit": f"""
+        WITH RECURSIVE texts AS MATERIALIZED (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+                {_WORDS.format("coalesce(text, '')")} AS ws,
+                min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+            FROM documents
+        ), marks AS (
+            SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id
+        ), masks AS (
+            SELECT part, quality, toxic,
+                CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END
+                + CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END
+                + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')))
+                    > 10 * length(t) THEN 4 ELSE 0 END
+                + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+                + CASE WHEN first_id < doc_id THEN 16 ELSE 0 END AS mask
+            FROM texts LEFT JOIN marks USING (doc_id)
+        ), cells AS MATERIALIZED (
+            SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good,
+                count(*) FILTER (WHERE toxic = 1) AS toxic
+            FROM masks GROUP BY part, mask
+        ), letters AS (
+            SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+        ), prefixes AS (
+            SELECT '' AS prefix, '' AS letter, 0 AS before, 0 AS applied, 0 AS bit
+            UNION ALL
+            SELECT p.prefix || l.letter, l.letter, p.applied, p.applied | l.bit, l.bit
+            FROM prefixes p JOIN letters l ON p.applied & l.bit = 0
+        ), figures AS MATERIALIZED (
+            SELECT part, prefix, letter,
+                coalesce(sum(n) FILTER (WHERE mask & applied = 0), 0) AS kept,
+                coalesce(sum(n) FILTER (WHERE mask & bit <> 0 AND mask & before = 0), 0) AS removed,
+                coalesce(sum(n) FILTER (WHERE mask & bit <> 0 AND mask & before <> 0), 0)
+                    AS redundant,
+                coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+                coalesce(sum(good) FILTER (WHERE mask & bit <> 0 AND mask & before = 0), 0)
+                    AS good_lost,
+                coalesce(sum(toxic) FILTER (WHERE mask & bit <> 0 AND mask & before = 0), 0)
+                    AS toxic_lost
+            FROM prefixes CROSS JOIN cells WHERE prefix <> '' GROUP BY ALL
+        ), orders AS (
+            SELECT prefix AS filter_order, unnest([1, 2, 3, 4, 5]) AS step
+            FROM prefixes WHERE length(prefix) = 5
+        ), rows AS (
+            SELECT part, filter_order, step, letter, kept, removed, redundant, unique_fails,
+                good_lost, toxic_lost
+            FROM orders JOIN figures ON prefix = left(filter_order, step)
+        )
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept,
+            CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+            CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+            CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+        FROM rows""",
 }
