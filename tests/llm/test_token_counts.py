@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -81,6 +82,18 @@ def test_counts_come_from_the_cache(spark, tmp_path):
     assert got == [(1, 5, 77, False), (2, 5, 77, False), (3, 1, 1, False)]
 
 
+def test_frequent_digests_are_not_shuffled(spark, plan_of):
+    rows = spark.createDataFrame(
+        [(i, bytes([0 if i < 60 else i])) for i in range(100)], "doc_id int, digest binary"
+    )
+    known = rows.select("digest", F.ascii(F.hex("digest")).cast("bigint").alias("n_tokens"))
+    known = known.distinct().filter("hex(digest) <> '41'")
+    found = tc.with_counts(rows, known, frequent=10)
+    assert found.count() == 100 and found.filter("n_tokens IS NULL").count() == 1
+    assert found.filter("digest = unhex('00')").count() == 60
+    assert "BroadcastHashJoin LeftAnti" in plan_of(found)
+
+
 def test_empty_table(spark, tmp_path):
     assert counted(spark, [], PIECES, str(tmp_path / "cache")) == []
     assert not (tmp_path / "cache").exists()

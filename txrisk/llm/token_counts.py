@@ -5,9 +5,10 @@ tokenizer is named by a digest of its file, the library and its version. Counts
 are kept under both digests. A run joins its texts with the stored counts,
 encodes each distinct text that has none, once, and appends those counts.
 
-Only digests are joined with the cache. Texts move only on their way to the
-encoder, one row per distinct text and task, so a group of copies of any size
-arrives as a few rows. Are the misses few, their digests filter the texts where
+Only digests are joined with the cache; those of more than one in ``FREQUENT``
+rows, which are at most that many, get their counts without a shuffle. Texts move
+only on their way to the encoder, one row per distinct text and task, so a group
+of copies of any size arrives as a few rows. Are the misses few, their digests filter the texts where
 they are read; beyond ``FEW_MISSES`` the texts are brought together by digest
 and those with a count dropped. Each run appends a folder of its own: a run that
 fails leaves whole counts or none, and counts stored twice are equal.
@@ -37,6 +38,8 @@ from txrisk.llm.common import stored
 CACHE = "digest binary, n_tokens bigint, tokenizer string, run string"
 # Digests broadcast at most, 32 bytes each.
 FEW_MISSES = 100_000
+# A digest that more than one in so many rows have is joined by broadcast.
+FREQUENT = 1000
 LIMIT = 4096
 
 
@@ -121,6 +124,17 @@ def append_counts(misses: DataFrame, cache: str, version: str, kind: str, conten
     rows.write.parquet(f"{cache}/tokenizer={version}/run={uuid.uuid4().hex}")
 
 
+def with_counts(rows: DataFrame, known: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+    """The rows with ``n_tokens`` of their digest. Copies of one frequent text
+    stay in the tasks that read them."""
+    least = rows.count() / frequent
+    often = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    often = stored(often.filter(F.col("copies") > least).select("digest"), "frequent-digests")
+    few = known.join(F.broadcast(often), "digest", "left_semi")
+    rest = rows.join(F.broadcast(often), "digest", "left_anti")
+    return rest.join(known, "digest", "left").unionByName(rows.join(F.broadcast(few), "digest"))
+
+
 def token_counts(
     docs: DataFrame, tokenizer: str, cache: str, limit: int = LIMIT, few: int = FEW_MISSES
 ) -> DataFrame:
@@ -147,6 +161,6 @@ def token_counts(
         known = cached_counts(spark, cache, version)
     elif known is None:
         known = spark.createDataFrame([], "digest binary, n_tokens bigint")
-    return rows.join(known, "digest", "left").select(
+    return with_counts(rows, known).select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
