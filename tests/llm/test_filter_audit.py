@@ -122,6 +122,6 @@ def test_other_letters(spark):
     assert {(r.filter_order, r.step, r.kept, r.removed, r.redundant, r.shapley) for r in found} == {
         ("xy", 1, 5, 6, 0, 8), ("xy", 2, 5, 0, 4, 4), ("yx", 1, 7, 4, 0, 4), ("yx", 2, 5, 2, 4, 8),
     }
-    for letters in ("", "xx", "abcdefgh"):
+    for letters in ("", "xx", "abcdefgh", "a'"):
         with pytest.raises(ValueError):
             filter_audit.filter_audit(rows, letters, {})

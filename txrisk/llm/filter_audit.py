@@ -128,8 +128,8 @@ WITH RECURSIVE prefixes (part, prefix, applied, step, {columns}) AS (
     UNION ALL
     SELECT p.part, p.prefix || l.letter, p.applied | l.bit, p.step + 1, {figures}
     FROM prefixes p
-    JOIN {{letters}} l ON p.applied & l.bit = 0
     JOIN {{cells}} c ON c.part = p.part
+    LATERAL VIEW explode(filter(array({letters}), l -> (p.applied & l.bit) = 0)) AS l
 )
 SELECT * FROM prefixes WHERE step > 0
 """
@@ -150,15 +150,16 @@ def step_figures(spark: SparkSession, cells: DataFrame, letters: str, lost: list
         f"aggregate(c.cells, 0L, (a, x) -> a + if({condition}, x.{counted}, 0L)) AS {name}"
         for name, (condition, counted) in figures.items()
     ]
+    bit_of = [f"named_struct('letter', '{x}', 'bit', {1 << i})" for i, x in enumerate(letters)]
     query = STEPS.format(
-        columns=", ".join(figures), zeros=", ".join(["0L"] * len(figures)), figures=", ".join(sums)
-    )
-    bit = spark.createDataFrame(
-        [(letter, 1 << place) for place, letter in enumerate(letters)], "letter string, bit int"
+        columns=", ".join(figures),
+        zeros=", ".join(["0L"] * len(figures)),
+        figures=", ".join(sums),
+        letters=", ".join(bit_of),
     )
     prefixes = sum(perm(len(letters), k) for k in range(len(letters) + 1))
     with _recursion_of(spark, prefixes * cells.count() + 1):
-        return stored(spark.sql(query, cells=cells, letters=bit), "steps")
+        return stored(spark.sql(query, cells=cells), "steps")
 
 
 def filter_audit(rows: DataFrame, letters: str, lost: Mapping[str, str]) -> DataFrame:
@@ -170,6 +171,8 @@ def filter_audit(rows: DataFrame, letters: str, lost: Mapping[str, str]) -> Data
     """
     if not 0 < len(letters) <= MOST_FILTERS or len(set(letters)) < len(letters):
         raise ValueError(f"1 to {MOST_FILTERS} different letters, not {letters!r}")
+    if not (letters.isascii() and letters.isalnum()):
+        raise ValueError(f"letters or digits, not {letters!r}")
     spark = rows.sparkSession
     cells = stored(mask_cells(rows, lost), "cells")
     steps = step_figures(spark, cells, letters, list(lost))
