@@ -11,9 +11,11 @@ from txrisk.checks.fixtures import ISO_MICROS, Fixture
 from txrisk.checks.oracle import VIEWS, since
 from txrisk.functions import display, parse, rules
 from txrisk.operators import matching, ranking, recent, routing
+from txrisk.operators.repeats import once
 from txrisk.plans import panels, reports
 from txrisk.schemas import (
     DLQ_MESSAGES,
+    ENVELOPE,
     FRAUD_ALERTS,
     MESSAGE,
     POSITION,
@@ -22,7 +24,9 @@ from txrisk.schemas import (
     Table,
 )
 from txrisk.sources.tables import create_tables, read_table, read_tables, register, run_query
+from txrisk.sources.messages import file_stream
 from txrisk.streaming.job import batch_writer, start
+from txrisk.streaming.live import live_activity, read_minutes, start_minutes, windowed_rate
 from txrisk.streaming.sinks import parquet_sink
 
 Build = Callable[[Fixture], DataFrame]
@@ -901,6 +905,102 @@ def _(f: Fixture) -> DataFrame:
     return reports.recent_transactions(read_table(f.spark, root, TRANSACTIONS))
 
 
+# --- live reports ----------------------------------------------------------
+
+
+def parsed_stream(f: Fixture, raw: DataFrame | None = None) -> DataFrame:
+    """The message stream parsed, with the messages' own time as ingest time."""
+    return parse.transactions(f.raw_stream if raw is None else raw, F.col("timestamp"))
+
+
+def live_minutes(f: Fixture, figures: DataFrame, mode: str = "update") -> DataFrame:
+    path = f.scratch("minutes")
+    start_minutes(
+        figures, path, f.scratch("checkpoint"), mode=mode, available_now=True
+    ).awaitTermination()
+    return read_minutes(f.spark, path, figures.schema)
+
+
+@case(
+    "ext_01_live_ingest_rate",
+    f"""SELECT date_trunc('minute', ingested_at) AS minute, count(*) AS ticks
+        FROM transactions WHERE {since("30 minutes")} GROUP BY 1""",
+)
+def _(f: Fixture) -> DataFrame:
+    """AGG-13 as a stream. The period is that of the fixture's moment; on the
+    clock, every row that arrives is within it."""
+    facts = routing.facts(parsed_stream(f))
+    return live_minutes(f, windowed_rate(reports.recent(facts, reports.MINUTE_PERIOD, f.moment)))
+
+
+@case(
+    "ext_01_live_minutes",
+    """SELECT date_trunc('minute', ingested_at) AS minute, count(*) AS ticks
+       FROM transactions GROUP BY 1""",
+)
+def _(f: Fixture) -> DataFrame:
+    return live_minutes(f, windowed_rate(routing.facts(parsed_stream(f))))
+
+
+def delivered_twice(f: Fixture) -> DataFrame:
+    """A stream that delivers every message in two batches."""
+    path = f.scratch("twice")
+    for _delivery in range(2):
+        f.raw.coalesce(1).write.mode("append").parquet(path)
+    return file_stream(f.spark, path, ENVELOPE, maxFilesPerTrigger="1")
+
+
+# Longer than the test tables' period.
+ALL_TIME = "1000 days"
+
+
+@case(
+    "ext_02_duplicate_guard",
+    "SELECT kafka_partition, kafka_offset, transaction_id, user_id FROM parsed",
+)
+def _(f: Fixture) -> DataFrame:
+    target = f.scratch("messages")
+    columns = [*POSITION, "transaction_id", "user_id"]
+    rows = once(parsed_stream(f, delivered_twice(f)), ALL_TIME).select(*columns)
+    (
+        rows.writeStream.format("parquet")
+        .option("checkpointLocation", f.scratch("checkpoint"))
+        .trigger(availableNow=True)
+        .start(target)
+        .awaitTermination()
+    )
+    return f.spark.read.schema(rows.schema).parquet(target)
+
+
+@case("ext_02_guarded_tables", ROWS_SQL)
+def _(f: Fixture) -> DataFrame:
+    """The whole job, with the guard, on the stream that repeats itself."""
+    root = f.scratch("tables")
+    start(
+        delivered_twice(f), parquet_sink(root), f.scratch("checkpoint"),
+        stamp=F.col("timestamp"), available_now=True, guard=ALL_TIME,
+    ).awaitTermination()
+    return rows_per_table(f, root)
+
+
+@case("ext_03_live_activity", ACTIVITY_SQL)
+def _(f: Fixture) -> DataFrame:
+    """AGG-9 from a stream of facts and one of alerts, some of them repeated.
+    One more row a day later in each closes the last minutes."""
+    columns = ["transaction_id", "ingested_at"]
+    later = F.col("ingested_at") + F.expr("INTERVAL 1 DAY")
+    streams = []
+    for rows in (f.transactions, f.alerts):
+        rows, path = rows.select(*columns), f.scratch("rows")
+        rows.coalesce(1).write.parquet(path)
+        last = rows.orderBy(F.desc("ingested_at")).limit(1).withColumn("ingested_at", later)
+        last.write.mode("append").parquet(path)
+        streams.append(file_stream(f.spark, path, rows.schema, maxFilesPerTrigger="1"))
+    facts, alerts = streams
+    facts = reports.recent(facts, reports.MINUTE_PERIOD, f.moment)
+    return live_minutes(f, live_activity(facts, alerts), "append")
+
+
 # --- flagship --------------------------------------------------------------
 
 

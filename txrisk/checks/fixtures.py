@@ -140,5 +140,11 @@ class Fixture:
         """Newest ingest time, so that relative periods give fixed results."""
         return self.transactions.agg(F.max("ingested_at")).scalar()
 
+    @cached_property
+    def moment(self) -> Column:
+        """``as_of`` as a literal, for streams."""
+        newest = self.transactions.agg(F.max("ingested_at").cast("string")).first()[0]
+        return F.lit(newest).cast("timestamp")
+
     def scratch(self, label: str) -> str:
         return scratch_dir(self.spark, label)

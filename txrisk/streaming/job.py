@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txrisk.functions.parse import transactions
 from txrisk.functions.rules import DEFAULT_RULES, Rule
+from txrisk.operators.repeats import once
 from txrisk.operators.routing import sizes, split
 from txrisk.schemas import DLQ_MESSAGES, TABLES, TRANSACTIONS
 from txrisk.streaming.sinks import Sink
@@ -77,17 +78,21 @@ def start(
     stamp: Column | None = None,
     available_now: bool = False,
     interval: str = TRIGGER,
+    guard: str | None = None,
 ) -> StreamingQuery:
     """Start the query on an envelope stream.
 
     ``available_now`` processes what is there and ends, instead of polling
     every ``interval``; a longer one gives fewer, larger files. ``stamp``
-    replaces the ingest time.
+    replaces the ingest time. With ``guard``, such as ``10 minutes``, a message
+    that the stream delivers again within that time is left out.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    rows = transactions(raw, stamp)
+    if guard is not None:
+        rows = once(rows, guard)
     return (
-        transactions(raw, stamp)
-        .writeStream.foreachBatch(batch_writer(sink, tables, rules, rows_per_task))
+        rows.writeStream.foreachBatch(batch_writer(sink, tables, rules, rows_per_task))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
