@@ -14,6 +14,7 @@ from txrisk.session import build_session
 from txrisk.sources.messages import topic_stream
 from txrisk.sources.tables import create_tables
 from txrisk.streaming.job import TRIGGER, run, start
+from txrisk.streaming.ledger import Ledger
 from txrisk.streaming.sinks import jdbc_sink, parquet_sink
 
 
@@ -32,6 +33,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         help="database tables hold the contract's columns only; a retried batch repeats rows",
     )
     parser.add_argument("--interval", default=TRIGGER, help="time between batches")
+    parser.add_argument(
+        "--guard", metavar="TIME",
+        help="leave out messages delivered again within this time, such as '10 minutes'",
+    )
     parser.add_argument(
         "--source-option", action="append", default=[], metavar="NAME=VALUE",
         help="further option of the topic source, may be repeated",
@@ -43,9 +48,11 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     args = arguments(argv)
     spark = build_session()
+    ledger = None
     if args.root:
         create_tables(spark, args.root)
-        sink = parquet_sink(args.root)
+        sink, ledger = parquet_sink(args.root), Ledger(spark, args.root)
+        ledger.create()
     else:
         properties = {
             "user": args.jdbc_user,
@@ -55,7 +62,10 @@ def main(argv: list[str] | None = None) -> None:
         sink = jdbc_sink(args.jdbc_url, properties, replay_safe=not args.plain_append)
     options = dict(option.split("=", 1) for option in args.source_option)
     raw = topic_stream(spark, args.servers, args.topic, **options)
-    run(spark, start(raw, sink, args.checkpoint, interval=args.interval))
+    query = start(
+        raw, sink, args.checkpoint, interval=args.interval, guard=args.guard, ledger=ledger
+    )
+    run(spark, query)
 
 
 if __name__ == "__main__":

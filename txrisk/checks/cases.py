@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.checks.fixtures import ISO_MICROS, Fixture
@@ -12,7 +12,7 @@ from txrisk.checks.oracle import VIEWS, since
 from txrisk.functions import display, parse, rules
 from txrisk.operators import matching, ranking, recent, routing
 from txrisk.operators.repeats import once
-from txrisk.plans import panels, reports
+from txrisk.plans import panels, reports, rollups
 from txrisk.schemas import (
     DLQ_MESSAGES,
     ENVELOPE,
@@ -22,11 +22,13 @@ from txrisk.schemas import (
     TABLES,
     TRANSACTIONS,
     Table,
+    Tables,
 )
-from txrisk.sources.tables import create_tables, read_table, read_tables, register, run_query
 from txrisk.sources.messages import file_stream
+from txrisk.sources.tables import create_tables, read_table, read_tables, register, run_query
 from txrisk.streaming.job import batch_writer, start
 from txrisk.streaming.live import live_activity, read_minutes, start_minutes, windowed_rate
+from txrisk.streaming.ledger import Ledger, Sizes, snapshot
 from txrisk.streaming.sinks import parquet_sink
 
 Build = Callable[[Fixture], DataFrame]
@@ -77,6 +79,19 @@ def streamed(f: Fixture, *names: str) -> str:
     return root
 
 
+def recorded(f: Fixture) -> str:
+    """As ``streamed``, with the records of its batches."""
+    root = f.scratch("tables")
+    create_tables(f.spark, root)
+    ledger = Ledger(f.spark, root)
+    ledger.create()
+    start(
+        f.raw_stream, parquet_sink(root), f.scratch("checkpoint"),
+        stamp=F.col("timestamp"), available_now=True, ledger=ledger,
+    ).awaitTermination()
+    return root
+
+
 SCORED = ["transaction_id", "fraud_reason"]
 
 # --- sources ---------------------------------------------------------------
@@ -702,15 +717,30 @@ def _(f: Fixture) -> DataFrame:
     f"SELECT table_name, CAST(0 AS BIGINT) AS batch_id, n FROM ({ROWS_SQL}) AS counted",
 )
 def _(f: Fixture) -> DataFrame:
-    root = streamed(f)
-    counts = [
-        read_table(f.spark, root, table)
-        .groupBy("batch_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("table_name", F.lit(name))
-        for name, table in TABLES.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """The sizes that each batch reports, as observed while it is read."""
+    told: list[tuple[str, int, int]] = []
+
+    def report(batch_id: int, sizes: Sizes) -> None:
+        told.extend((name, batch_id, figures["rows"]) for name, figures in sizes.items())
+
+    root = f.scratch("tables")
+    start(
+        f.raw_stream, parquet_sink(root), f.scratch("checkpoint"),
+        stamp=F.col("timestamp"), available_now=True, report=report,
+    ).awaitTermination()
+    return f.spark.createDataFrame(told, "table_name string, batch_id bigint, n bigint")
+
+
+@case(
+    "agg_16_recorded_rows",
+    f"SELECT table_name, CAST(0 AS BIGINT) AS batch_id, n, n AS total FROM ({ROWS_SQL}) AS counted",
+)
+def _(f: Fixture) -> DataFrame:
+    """The sizes that the batches' records keep."""
+    _, batches, _ = snapshot(f.spark, recorded(f))
+    return batches.select(
+        "table_name", "batch_id", F.col("rows").alias("n"), F.col("total_rows").alias("total")
+    )
 
 
 @case(
@@ -905,6 +935,119 @@ def _(f: Fixture) -> DataFrame:
     return reports.recent_transactions(read_table(f.spark, root, TRANSACTIONS))
 
 
+@case(
+    "str_08_half_a_batch_is_not_seen",
+    """SELECT table_name, CAST(0 AS BIGINT) AS batch_id, count(*) AS n FROM (
+           SELECT 'transactions' AS table_name, kafka_offset FROM transactions
+           UNION ALL SELECT 'fraud_alerts', kafka_offset FROM flagged
+           UNION ALL SELECT 'dlq_messages', kafka_offset FROM dlq_messages) AS r
+       WHERE kafka_offset % 2 = 0 GROUP BY table_name""",
+)
+def _(f: Fixture) -> DataFrame:
+    """Messages with an odd offset come second, and their batch fails after its
+    facts are written: the snapshot holds the first batch."""
+    root, path = f.scratch("tables"), f.scratch("messages")
+    create_tables(f.spark, root)
+    ledger = Ledger(f.spark, root)
+    ledger.create()
+    for odd in (0, 1):
+        part = f.raw.filter(F.col("offset") % 2 == odd)
+        part.coalesce(1).write.mode("append").parquet(path)
+    write = parquet_sink(root)
+
+    def failing(rows: DataFrame, table: Table, batch_id: int, tasks: int) -> None:
+        if batch_id == 1 and table is not TRANSACTIONS:
+            raise RuntimeError("sink is down")
+        write(rows, table, batch_id, tasks)
+
+    stream = start(
+        file_stream(f.spark, path, ENVELOPE, maxFilesPerTrigger="1"), failing,
+        f.scratch("checkpoint"), stamp=F.col("timestamp"), available_now=True, ledger=ledger,
+    )
+    try:
+        stream.awaitTermination()
+    except Exception as error:
+        if "sink is down" not in str(error):
+            raise
+    tables, _, _ = snapshot(f.spark, root)
+    counts = [
+        df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n")).withColumn("table_name", F.lit(t))
+        for t, df in tables._asdict().items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+# --- reports from the records of the stream ---------------------------------
+
+
+def rollup_case(key: str, sql: str) -> Callable[[Build], Build]:
+    """A report on the records of a stored stream, whose alerts have no copies."""
+    return case(key, sql.replace("FROM fraud_alerts", "FROM flagged"))
+
+
+def last_moment(tables: Tables) -> Column:
+    return recent.last_ingest(tables.transactions).scalar()
+
+
+@rollup_case(
+    "agg_01_counts_from_minutes",
+    f"""SELECT
+        (SELECT count(*) FROM transactions WHERE {since("1 hour")}) AS tx_last_hour,
+        (SELECT count(*) FROM fraud_alerts WHERE {since("1 hour")}) AS fraud_last_hour,
+        (SELECT count(*) FROM dlq_messages WHERE {since("1 hour")}) AS dlq_last_hour""",
+)
+def _(f: Fixture) -> DataFrame:
+    tables, _, minutes = snapshot(f.spark, recorded(f))
+    return rollups.recent_counts(minutes, tables, last_moment(tables))
+
+
+@rollup_case("agg_07_reasons_from_minutes", BY_REASON_SQL)
+def _(f: Fixture) -> DataFrame:
+    tables, _, minutes = snapshot(f.spark, recorded(f))
+    return rollups.alerts_by_reason(minutes, tables.fraud_alerts, last_moment(tables))
+
+
+@rollup_case(
+    "agg_08_countries_from_minutes",
+    f"""SELECT country, count(*) AS n FROM fraud_alerts WHERE {since("24 hours")}
+        GROUP BY country ORDER BY n DESC, country LIMIT 15""",
+)
+def _(f: Fixture) -> DataFrame:
+    tables, _, minutes = snapshot(f.spark, recorded(f))
+    return rollups.alerts_by_country(minutes, tables.fraud_alerts, last_moment(tables))
+
+
+@rollup_case(
+    "agg_11_totals_from_records",
+    """SELECT * FROM (SELECT count(*) AS transactions, max(ingested_at) AS last
+                      FROM transactions) AS t
+       JOIN (SELECT count(*) AS fraud_alerts FROM flagged) AS a ON true
+       JOIN (SELECT count(*) AS dlq_messages FROM dlq_messages) AS d ON true""",
+)
+def _(f: Fixture) -> DataFrame:
+    _, batches, _ = snapshot(f.spark, recorded(f))
+    return rollups.pipeline_totals(batches)
+
+
+@rollup_case(
+    "agg_13_rate_from_minutes",
+    f"""SELECT date_trunc('minute', ingested_at) AS minute, count(*) AS ticks
+        FROM transactions WHERE {since("30 minutes")} GROUP BY 1 ORDER BY 1""",
+)
+def _(f: Fixture) -> DataFrame:
+    tables, _, minutes = snapshot(f.spark, recorded(f))
+    return rollups.ingest_rate(minutes, tables.transactions, last_moment(tables))
+
+
+@case("top_03_latest_from_records", f"SELECT {quoted(RECENT)} FROM recent_transactions")
+def _(f: Fixture) -> DataFrame:
+    tables, batches, _ = snapshot(f.spark, recorded(f))
+    newest = rollups.latest(
+        tables.transactions, batches, TRANSACTIONS.name, reports.RECENT_ROWS, "transaction_id"
+    )
+    return newest.select(*RECENT)
+
+
 # --- live reports ----------------------------------------------------------
 
 

@@ -103,12 +103,47 @@ def split(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str,
     }
 
 
-def sizes(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str, int]:
-    """Table name to the number of rows that belong in it, in one job."""
-    conditions = {
+def belongs(rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str, Column]:
+    """Table name to the condition on parsed rows under which they belong in it."""
+    return {
         TRANSACTIONS.name: has_ids(),
         FRAUD_ALERTS.name: has_ids() & fraud_reason(rules).isNotNull(),
         DLQ_MESSAGES.name: error_type().isNotNull(),
     }
-    counts = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+
+
+def sizes(parsed: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> dict[str, int]:
+    """Table name to the number of rows that belong in it, in one job."""
+    counts = [F.count_if(condition).alias(name) for name, condition in belongs(rules).items()]
     return parsed.agg(*counts).first().asDict()
+
+
+def size_metrics(rules: Sequence[Rule] = DEFAULT_RULES) -> list[Column]:
+    """Figures of a batch to observe while it is read: per table the rows
+    (``table.rows``), those without an ingest time, and the first and last
+    ingest time in microseconds."""
+    time = F.col("ingested_at")
+    metrics = []
+    for name, condition in belongs(rules).items():
+        micros = F.when(condition, F.unix_micros(time))
+        metrics += [
+            F.count_if(condition).alias(f"{name}.rows"),
+            F.count_if(condition & time.isNull()).alias(f"{name}.untimed"),
+            F.min(micros).alias(f"{name}.first"),
+            F.max(micros).alias(f"{name}.last"),
+        ]
+    return metrics
+
+
+def checked(rows: DataFrame, table: Table) -> DataFrame:
+    """The rows, failing at the first that lacks a column the table declares
+    NOT NULL and a writer sends. Parquet keeps no such declaration, so it is
+    enforced in the plan that writes, whatever sink runs it."""
+    required = [c for c in table.required if c in table.sent]
+    values = {
+        c: F.when(
+            F.col(c).isNull(), F.raise_error(F.lit(f"{table.name}.{c} must not be NULL"))
+        ).otherwise(F.col(c))
+        for c in required
+    }
+    return rows.withColumns(values)

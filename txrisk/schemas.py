@@ -59,6 +59,7 @@ class Table:
     name: str
     contract: StructType
     defaults: tuple[str, ...] = ("id",)
+    extra: tuple[str, ...] = (*POSITION, *LAYOUT)
 
     @property
     def columns(self) -> list[str]:
@@ -76,7 +77,7 @@ class Table:
     @property
     def stored(self) -> StructType:
         """Contract plus the columns above, as kept in files."""
-        extra = [f for f in STORAGE if f.name not in self.columns]
+        extra = [f for f in STORAGE if f.name in self.extra and f.name not in self.columns]
         return StructType(self.contract.fields + extra)
 
 
@@ -141,6 +142,40 @@ DLQ_MESSAGES = Table(
 
 TABLES = {t.name: t for t in (TRANSACTIONS, FRAUD_ALERTS, DLQ_MESSAGES)}
 
+# What the stream keeps beside the tables: one row per batch and table when the
+# batch is complete, and counts per minute that can be added up over batches.
+BATCHES = Table(
+    "batches",
+    schema(
+        "table_name",
+        "rows",
+        "total_rows",
+        table_name="string",
+        rows="long",
+        total_rows="long",
+        untimed="long",
+        first_ingest="timestamp",
+        last_ingest="timestamp",
+    ),
+    defaults=(),
+    extra=tuple(LAYOUT),
+)
+
+MINUTES = Table(
+    "minutes",
+    schema(
+        "table_name",
+        "n",
+        table_name="string",
+        minute="timestamp",
+        fraud_reason="string",
+        country="string",
+        n="long",
+    ),
+    defaults=(),
+    extra=tuple(LAYOUT),
+)
+
 
 class Tables(NamedTuple):
     """The rows of the three tables."""

@@ -11,11 +11,15 @@ from pyspark.sql import functions as F
 from txrisk.schemas import LAYOUT, TABLES, Table, Tables
 
 
+def create_table(spark: SparkSession, root: str, table: Table) -> None:
+    """Create the table's directory unless it is there."""
+    empty = spark.createDataFrame([], table.stored)
+    empty.write.mode("ignore").partitionBy(*LAYOUT).parquet(f"{root}/{table.name}")
+
+
 def create_tables(spark: SparkSession, root: str) -> None:
-    """Create each table's directory unless it is there."""
     for table in TABLES.values():
-        empty = spark.createDataFrame([], table.stored)
-        empty.write.mode("ignore").partitionBy(*LAYOUT).parquet(f"{root}/{table.name}")
+        create_table(spark, root, table)
 
 
 def read_table(
