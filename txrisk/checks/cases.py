@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ from txrisk.schemas import (
     Table,
     Tables,
 )
+from txrisk.sources import by_id
 from txrisk.sources.messages import file_stream
 from txrisk.sources.tables import create_tables, read_table, read_tables, register, run_query
 from txrisk.streaming.job import batch_writer, start
@@ -1039,6 +1042,30 @@ def _(f: Fixture) -> DataFrame:
     return rollups.ingest_rate(minutes, tables.transactions, last_moment(tables))
 
 
+def by_id_case(key: str, sql: str, report: Callable[..., DataFrame]) -> None:
+    @rollup_case(key, sql)
+    def _(f: Fixture) -> DataFrame:
+        """All days but the newest are counted per id in buckets."""
+        tables = read_tables(f.spark, streamed(f))
+        moment = recent.last_ingest(tables.transactions)
+        day = moment.select(F.to_date("last")).first()[0]
+        path = f.scratch("alerts-by-id")
+        by_id.store_counts(tables.fraud_alerts, path, date(1970, 1, 1), day, buckets=8)
+        counts = by_id.counts_table(f.spark, path, buckets=8)
+        counted = by_id.stored_counts(counts, day)
+        return report(
+            tables.transactions, tables.fraud_alerts, moment.scalar(), counted=counted
+        )
+
+
+by_id_case("agg_09_activity_by_stored_counts", ACTIVITY_SQL, reports.activity_per_minute)
+by_id_case(
+    "agg_05_fraud_rate_by_stored_counts",
+    f"SELECT {DAY_RATE_SQL} AS fraud_rate_pct",
+    partial(reports.fraud_rate, within=reports.ALERT_PERIOD),
+)
+
+
 @case("top_03_latest_from_records", f"SELECT {quoted(RECENT)} FROM recent_transactions")
 def _(f: Fixture) -> DataFrame:
     tables, batches, _ = snapshot(f.spark, recorded(f))

@@ -10,6 +10,8 @@ execution can split an id that holds a large share of the transactions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +29,13 @@ def with_alert_counts(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
     return counted.withColumn("alerts", F.coalesce("alerts", F.lit(0)))
 
 
-def joined_rows(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+# Transactions and alerts to transactions with ``alerts``, how many their id has.
+Counted = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+def joined_rows(
+    transactions: DataFrame, alerts: DataFrame, counted: Counted = with_alert_counts
+) -> DataFrame:
     """The left join of the two tables, counted per transaction row.
 
     ``matched`` and ``joined`` are the numbers of rows the join yields with an
@@ -35,12 +43,14 @@ def joined_rows(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
     integer.
     """
     n = F.col("alerts").cast("double")
-    return with_alert_counts(transactions, alerts).select(
+    return counted(transactions, alerts).select(
         ID, n.alias("matched"), F.greatest(n, F.lit(1.0)).alias("joined")
     )
 
 
-def marked(transactions: DataFrame, alerts: DataFrame) -> DataFrame:
+def marked(
+    transactions: DataFrame, alerts: DataFrame, counted: Counted = with_alert_counts
+) -> DataFrame:
     """The transactions with ``alerted``, whether their id has an alert. Several
     alerts for one id do not multiply the rows."""
-    return with_alert_counts(transactions, alerts).withColumn("alerted", F.col("alerts") > 0)
+    return counted(transactions, alerts).withColumn("alerted", F.col("alerts") > 0)

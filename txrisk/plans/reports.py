@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.operators.matching import joined_rows, marked
+from txrisk.operators.matching import Counted, joined_rows, marked, with_alert_counts
 from txrisk.operators.ranking import counts_by, ranked
 from txrisk.operators.recent import last_ingest, latest, recent
 from txrisk.schemas import TRANSACTIONS, Tables
@@ -43,12 +43,16 @@ def unacknowledged(alerts: DataFrame) -> DataFrame:
 
 
 def fraud_rate(
-    transactions: DataFrame, alerts: DataFrame, as_of: AsOf = None, within: str = RATE_PERIOD
+    transactions: DataFrame,
+    alerts: DataFrame,
+    as_of: AsOf = None,
+    within: str = RATE_PERIOD,
+    counted: Counted = with_alert_counts,
 ) -> DataFrame:
     """Percentage of joined rows that carry an alert, NULL without rows. A
     transaction with several alerts counts once for each."""
     window = recent(transactions, within, as_of)
-    joined = joined_rows(window, alerts)
+    joined = joined_rows(window, alerts, counted)
     rate = 100.0 * F.sum("matched") / F.nullif(F.sum("joined"), F.lit(0.0))
     return joined.agg(F.round(rate, 2).alias("fraud_rate_pct"))
 
@@ -94,12 +98,15 @@ def ingest_minute() -> Column:
 
 
 def activity_per_minute(
-    transactions: DataFrame, alerts: DataFrame, as_of: AsOf = None
+    transactions: DataFrame,
+    alerts: DataFrame,
+    as_of: AsOf = None,
+    counted: Counted = with_alert_counts,
 ) -> DataFrame:
     """Transactions per minute, and how many of them have an alert."""
     window = recent(transactions, MINUTE_PERIOD, as_of)
     return (
-        marked(window, alerts)
+        marked(window, alerts, counted)
         .groupBy(ingest_minute().alias("minute"))
         .agg(F.count(F.lit(1)).alias("total"), F.count_if("alerted").alias("fraud"))
         .orderBy("minute")
