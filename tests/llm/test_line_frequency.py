@@ -2,7 +2,10 @@
 
 import random
 
+import duckdb
+
 from txrisk.llm import quality_rules
+from txrisk.llm.queries import ORACLES
 
 
 def prose(seed, n=60):
@@ -33,3 +36,20 @@ def test_the_share_decides_in_small_sources_too(documents):
     assert cut == {*range(10), 100, 101, 102, *range(600, 604)}
     # a document that is nothing but a line of its source is depleted
     assert {i for i, r in found.items() if not r.kept} == {*range(600, 604)}
+
+
+def test_twin_removes_the_same_lines(spark, documents, numbered_lines):
+    """On texts of which some are depleted, the query's SQL says the same."""
+    footer = "All rights\tRESERVED 2024 by  the publisher of this page\n" * 2 + "imprint 17"
+    rows = [(i, numbered_lines(1000 + i) + "\n" + footer, f"s{i % 2}") for i in range(60)]
+    rows += [(100 + i, numbered_lines(1) + f"\nown words {i} " + "x " * 3, "s0") for i in range(9)]
+    rows += [(200, footer * 30, "s1"), (201, None, "s1"), (202, "", None), (203, rows[0][1], "s0")]
+    docs = documents(rows)
+    table = docs.toPandas()
+    duck = duckdb.connect()
+    duck.register("documents", table)
+    columns = ["doc_id", "n_words", "n_repeat_words", "removed_words", "base_failed", "kept"]
+    want = duck.sql(f"SELECT {', '.join(columns)} FROM ({ORACLES['op6_quality_rules']})").fetchall()
+    got = [tuple(r) for r in quality_rules.quality_rules(docs).select(*columns).collect()]
+    assert sorted(got) == sorted(want)
+    assert any(kept == failed for *_, failed, kept in got), "a document is depleted"

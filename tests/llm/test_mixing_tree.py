@@ -1,0 +1,94 @@
+"""The splitting tree: exact quotas, disjoint draws, and a mix that follows them."""
+
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from txrisk.llm import mixing
+from txrisk.llm.queries import op7_mixing
+
+SOURCES = "_source string, _none boolean, _quota bigint"
+
+
+def test_quotas_are_exact_at_every_level(spark):
+    sources = {"a": 700, "b": 40, "c": 1, "none": 0}
+    rows = spark.createDataFrame([(s, False, q) for s, q in sources.items()], SOURCES)
+    for levels in (0, 1, 3, 6):
+        shares = mixing.quotas(rows, mixing.Plan(levels=levels)).collect()
+        totals, by_source = Counter(), Counter()
+        for r in shares:
+            totals[r.shard] += r._quota
+            by_source[r._source] += r._quota
+        assert by_source == Counter({s: q for s, q in sources.items() if q})
+        assert len(totals) == 2**levels
+        # Halves of halves: shards differ by the rounding of each level only.
+        assert max(totals.values()) - min(totals.values()) <= levels
+
+
+def test_quotas_vary_like_draws_without_replacement(spark):
+    """A source's share of the left half over many seeds: mean and variance."""
+    rows = spark.createDataFrame([("a", False, 60), ("b", False, 40)], SOURCES)
+    left = []
+    for seed in range(60):
+        shares = mixing.quotas(rows, mixing.Plan(levels=1, seed=1000 * seed)).collect()
+        left.append(sum(r._quota for r in shares if (r._source, r.shard) == ("a", 0)))
+    mean = sum(left) / len(left)
+    variance = sum((x - mean) ** 2 for x in left) / len(left)
+    assert abs(mean - 30) < 1.5
+    assert 3 < variance < 11, "hypergeometric: 50 * 0.6 * 0.4 * 50 / 99 = 6.1"
+
+
+def test_draws_are_disjoint_and_whole(spark):
+    blocks = [("a", False, r, 5, f"block{r}") for r in range(5)]
+    blocks = spark.createDataFrame(
+        blocks, "_source string, _none boolean, _rank int, _of bigint, _block string"
+    )
+    shares = [("a", False, 0, 3), ("a", False, 1, 4), ("a", False, 3, 5)]
+    shares = spark.createDataFrame(shares, "_source string, _none boolean, shard int, _quota bigint")
+    drawn = {r._block: r._dealt for r in mixing.draws(blocks, shares).collect()}
+    # Twelve draws of five blocks: two passes and two blocks more.
+    assert [len(drawn[f"block{r}"]) for r in range(5)] == [3, 3, 2, 2, 2]
+    assert drawn["block0"] == [0, 1, 3] and drawn["block4"] == [1, 3]
+    assert Counter(s for d in drawn.values() for s in d) == {0: 3, 1: 4, 3: 5}
+
+
+def test_the_mix_follows_the_draws(spark, documents):
+    docs = documents([(i, "w " * (1 + i % 17), f"s{i % 3}") for i in range(600)])
+    plan = mixing.Plan(blocks=64, levels=3)
+    rows = mixing.plan_mix(docs, plan).collect()
+    assert all(r.uses == len(r.shards) <= 2 for r in rows)
+    taken, target = defaultdict(int), {}
+    for r in rows:
+        taken[r.source] += r.uses * r.size
+        target[r.source] = r.target
+    for source in target:
+        assert abs(taken[source] - target[source]) <= 17
+    mixed = mixing.mix(docs, plan).groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list("shard")).alias("shards")
+    )
+    got = {r.doc_id: r.shards for r in mixed.collect()}
+    assert got == {r.doc_id: sorted(r.shards) for r in rows if r.uses}
+
+
+def test_the_tree_is_part_of_the_query(spark, monkeypatch):
+    """A tree that gives nothing leaves nothing to take."""
+    nothing = mixing.quotas
+    monkeypatch.setattr(mixing, "quotas", lambda *a: nothing(*a).limit(0))
+    taken = op7_mixing(spark, "/root/testdata/sf0.001").agg(F.sum("taken")).first()[0]
+    assert taken == 0
+
+
+def test_rows_without_ids_spread_over_the_slices(spark):
+    schema = "doc_id bigint, text string, source string"
+    rows = [(None, f"word{i % 7} text{i:05d}", "s") for i in range(2000)]
+    keyed = mixing._keyed(spark.createDataFrame(rows, schema), mixing.Plan(slices=64))
+    assert keyed.select("_slice").distinct().count() == 64
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, None)], [(None, "", "s"), (None, "", "s")]])
+def test_next_to_nothing(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.plan_mix(docs).collect()
+    assert [r.size for r in found] == [0] * len(rows)
+    assert all(r.uses <= 2 for r in found)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +54,25 @@ def has_word(text: Column) -> Column:
     return F.ltrim(text, F.lit(GAP_CHARS)) != ""
 
 
+def set_aside(rows: DataFrame, names: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with those columns renamed whose names an operator needs for
+    itself, and what each of them is called meanwhile."""
+    needed = {name.lower() for name in names}
+    clashing = [c for c in rows.columns if c.lower() in needed]
+    meanwhile = {c: f"_own{k}_{c}" for k, c in enumerate(clashing)}
+    return rows.withColumnsRenamed(meanwhile), meanwhile
+
+
+def given_back(
+    rows: DataFrame, columns: Iterable[str], meanwhile: dict[str, str], *more: str
+) -> DataFrame:
+    """The input's ``columns`` under their own names, and the output's ``more``,
+    which win over input columns of the same name."""
+    wins = {name.lower() for name in more}
+    own = [F.col(f"`{meanwhile.get(c, c)}`").alias(c) for c in columns if c.lower() not in wins]
+    return rows.select(*own, *more)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared scratch folder and read back: a lost
     executor costs no recomputation, and values such as generated ids are

@@ -13,7 +13,9 @@ deletions needs the order only as deep as the shortest run of ``min_words``
 words reaches, at most ``min_words`` lines, so the number of rounds does not
 grow with the data. Lines that stand in one place only drop out before that.
 
-A maximal repeated run is covered by its shortest runs of ``min_words`` words,
+No order of the intervals and no prefix lengths are written out: the ranks of
+every length say which suffixes share an interval, and that is all deletions ask
+for. A maximal repeated run is covered by its shortest runs of ``min_words`` words,
 those that begin at a line and those that end at one. Each is looked up in the
 interval of its length; where the interval's first member is an earlier place,
 the run is a later copy. The union of such runs is the union of all maximal
@@ -27,7 +29,8 @@ shared folder, because the numbering must not change if a task is run again.
 
 Defined results: a NULL text stays NULL and an empty one empty; rows without a
 doc_id come last in order; of repeated rows one is the first and the others are
-copies of it; an empty table gives an empty result; other columns pass through.
+copies of it; an empty table gives an empty result; other columns pass through,
+but for those named like a column of the result.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import body_text, has_word, stored, word_count
+from txrisk.llm.common import body_text, given_back, has_word, set_aside, stored, word_count
 
 MIN_WORDS = 50
 ROW = "_row"
@@ -214,10 +217,18 @@ def cut_lines(text: Column, deleted: Column) -> Column:
     return F.array_join(F.flatten(between), "\n")
 
 
+RESULT = ("n_lines", "n_deleted", "deleted")
+
+
 def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The documents, later copies of line runs deleted from ``text``, with
     ``n_lines`` and ``n_deleted`` (lines with a word) and ``deleted`` (first and
     last line of each deleted run, NULL if none)."""
+    rows, meanwhile = set_aside(docs, (*RESULT, ROW))
+    return given_back(_without_copies(rows, min_words), docs.columns, meanwhile, *RESULT)
+
+
+def _without_copies(docs: DataFrame, min_words: int) -> DataFrame:
     rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "line-rows")
     deleted = repeated_runs(rows, min_words)
     matched = rows.join(deleted, ROW, "left")
@@ -235,10 +246,11 @@ def line_dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def kept_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Documents after deletion. One that lost all its lines is gone, as it was
     a copy throughout; ``n_chars``, where the input has it, follows the text."""
-    rows = line_dedup(docs, min_words)
+    rows, meanwhile = set_aside(docs, (*RESULT, ROW))
+    rows = _without_copies(rows, min_words)
     rows = rows.filter((F.col("n_deleted") == 0) | (F.col("n_deleted") < F.col("n_lines")))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         changed = F.col("deleted").isNotNull()
         rows = rows.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return given_back(rows, docs.columns, meanwhile)

@@ -5,12 +5,16 @@ twice the source's words, and the excess goes to the others by weight until no
 target is above its limit. Whole passes over a source come first; the rest is
 one pass over its blocks in permuted order, cut inside the last block.
 
-A multivariate-hypergeometric splitting tree deals the blocks out: at each node
-the blocks of all sources are ordered by a hash of node and block, and the first
-half goes left. Counting a source's blocks on the left is one draw from the
-multivariate hypergeometric distribution with the node's exact quotas, and the
-quotas of the two children add up to the node's. After the last level a node is
-an output shard; the documents of its blocks are shuffled by a hash inside it.
+A multivariate-hypergeometric splitting tree splits each source's quota, the
+number of block uses in the mix, among the output shards. At each node the
+quotas' units of all sources are ordered by a hash, and the first half goes
+left: a source's units on the left are one draw from the multivariate
+hypergeometric distribution with the node's quotas, and the children's quotas
+add up to the node's. After the last level a node is a shard. The shards then
+draw from the source's permuted blocks one after the other, each as many as its
+quota says, so their draws are disjoint; a source that is used more than once is
+drawn through again. What the mix takes of a document is how often its block was
+drawn. A shard's documents are shuffled by a hash inside it.
 
 A source is split into blocks by a hash of its documents, and sizes are summed
 per block before the shuffle, so a source with a third of all rows is many
@@ -20,8 +24,8 @@ single block per source that the target cuts.
 
 Defined results: a NULL text has size 0; a NULL source is a source of its own,
 ordered last; repeated rows are documents of their own; an empty table gives an
-empty result; other columns pass through. All choices are hashes of the data,
-so reruns agree.
+empty result; other columns pass through, but for those named like a column of
+the result. All choices are hashes of the data, so reruns agree.
 """
 
 from __future__ import annotations
@@ -31,9 +35,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import body_text, stored, word_count
+from txrisk.llm.common import body_text, given_back, set_aside, stored, word_count
 
 OWN = ["_source", "_none"]
+RESULT = ("size", "source_size", "target", "uses", "shards")
+HELPERS = (
+    *OWN, "_draw", "_slice", "_block", "_full", "_room", "_upto", "_dealt", "_order", "shard",
+)
 
 
 @dataclass(frozen=True)
@@ -56,7 +64,7 @@ def _keyed(docs: DataFrame, plan: Plan) -> DataFrame:
     """Documents with their size and slice. The source is split in a value and a
     NULL flag, which keeps its joins plain equalities. The hash of a document
     gives its slice, and the hash of that its order inside a block."""
-    draw = F.xxhash64(F.lit(plan.seed), F.col("doc_id"), F.length(body_text()))
+    draw = F.xxhash64(F.lit(plan.seed), F.col("doc_id"), body_text())
     return docs.withColumns(
         {
             "size": word_count(body_text()).cast("bigint"),
@@ -113,10 +121,10 @@ def targets(sources: DataFrame, plan: Plan = Plan()) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, plan: Plan) -> DataFrame:
-    """One row per source and slice, with the source's target and the slice's
-    block. ``_uses`` is how often the mix takes every document of the block,
-    and ``_room`` the words it still wants of a block that the target cuts
-    (NULL elsewhere).
+    """One row per source and slice, with the source's target, the slice's
+    block, its place ``_rank`` in the source's permutation, and ``_quota``, the
+    block uses the source has in the mix. The last of them may be a block that
+    the target cuts; there ``_room`` is the words it wants (NULL elsewhere).
 
     A source has one block per ``1 / plan.blocks`` of all words, at least one
     and at most one per slice, so all blocks together are bounded by the plan
@@ -144,61 +152,89 @@ def _blocks(docs: DataFrame, plan: Plan) -> DataFrame:
         placed.groupBy(*OWN, "_block", "source_size", "target")
         .agg(F.sum("slice_size").alias("block_size"))
         .withColumn("_passes", passes)
+        .withColumn("_rank", F.row_number().over(permuted) - 1)
         .withColumn("_upto", F.sum("block_size").over(permuted))
-        .withColumn("_uses", (F.col("_passes") + F.when(full, 1).otherwise(0)).cast("int"))
         .withColumn("_room", F.when(~full & (before < rest), rest - before))
-        .select(*OWN, "_block", "_uses", "_room")
+        .withColumn("_drawn", F.col("_passes") + F.when(full | (before < rest), 1).otherwise(0))
+        .withColumn("_quota", F.sum("_drawn").over(Window.partitionBy(*OWN)).cast("bigint"))
+        .withColumn("_of", F.count(F.lit(1)).over(Window.partitionBy(*OWN)))
+        .select(*OWN, "_block", "_rank", "_of", "_quota", "_room")
     )
     return placed.join(blocks, [*OWN, "_block"]).select(
-        *OWN, "_slice", "_block", "source_size", "target", "_uses", "_room"
+        *OWN, "_slice", "_block", "source_size", "target", "_rank", "_of", "_quota", "_room"
     )
 
 
-def _shards(blocks: DataFrame, plan: Plan) -> DataFrame:
-    """Shard of each use of each block, by the splitting tree. The root's window
-    sees every use of every block, whose number the plan bounds."""
-    uses = F.col("_uses") + F.when(F.col("_room").isNull(), 0).otherwise(1)
-    rows = (
-        blocks.filter(uses > 0)
-        .select(*OWN, "_block", F.explode(F.sequence(F.lit(1), uses)).alias("_use"))
-        .withColumn("_node", F.lit(0))
-    )
+def quotas(sources: DataFrame, plan: Plan = Plan()) -> DataFrame:
+    """Quota of each source (``_quota``) in each shard (``shard``), by the
+    splitting tree. The root's window sees every unit of every quota, whose
+    number the plan bounds."""
+    units = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_quota"))).alias("_unit")
+    rows = sources.filter("_quota > 0").select(*OWN, units).withColumn("shard", F.lit(0))
     for level in range(plan.levels):
-        mixed = F.xxhash64(F.lit(plan.seed + level), "_node", *OWN, "_block", "_use")
-        order = Window.partitionBy("_node").orderBy(mixed, *OWN, "_block", "_use")
-        every = Window.partitionBy("_node")
+        mixed = F.xxhash64(F.lit(plan.seed + level), "shard", *OWN, "_unit")
+        order = Window.partitionBy("shard").orderBy(mixed, *OWN, "_unit")
+        every = Window.partitionBy("shard")
         left = 2 * F.row_number().over(order) <= F.count(F.lit(1)).over(every)
-        rows = rows.withColumn("_node", 2 * F.col("_node") + F.when(left, 0).otherwise(1))
-    return rows
+        rows = rows.withColumn("shard", 2 * F.col("shard") + F.when(left, 0).otherwise(1))
+    return rows.groupBy(*OWN, "shard").agg(F.count(F.lit(1)).alias("_quota"))
+
+
+def draws(blocks: DataFrame, shares: DataFrame) -> DataFrame:
+    """The shards that draw each block, in the order of their draws
+    (``_dealt``). Shards take their quotas from the permuted blocks of a source
+    one after the other, beginning anew after the last block."""
+    one_by_one = Window.partitionBy(*OWN).orderBy("shard")
+    upto = F.sum("_quota").over(one_by_one)
+    drawn = shares.withColumn("_end", upto).select(
+        *OWN, "shard", F.explode(F.expr("sequence(_end - _quota, _end - 1)")).alias("_draw")
+    )
+    drawn = drawn.join(blocks.select(*OWN, "_of").distinct(), OWN)
+    drawn = drawn.withColumn("_rank", (F.col("_draw") % F.col("_of")).cast("int"))
+    dealt = drawn.join(blocks.select(*OWN, "_rank", "_block"), [*OWN, "_rank"])
+    in_order = F.sort_array(F.collect_list(F.struct("_draw", "shard")))
+    return (
+        dealt.groupBy(*OWN, "_block")
+        .agg(in_order.alias("_all"))
+        .select(*OWN, "_block", F.col("_all.shard").alias("_dealt"))
+    )
 
 
 def plan_mix(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
     """The documents with ``size``, ``source_size``, ``target``, ``uses`` (how
     often the mix takes the document) and ``shards`` (the shard of each use)."""
+    rows, meanwhile = set_aside(docs, (*RESULT, *HELPERS))
+    return given_back(_planned(rows, plan), docs.columns, meanwhile, *RESULT)
+
+
+def _planned(docs: DataFrame, plan: Plan) -> DataFrame:
     slices = stored(_blocks(docs, plan), "mix-plan")
-    dealt = (
-        _shards(slices.drop("_slice").distinct(), plan)
-        .groupBy(*OWN, "_block")
-        .agg(F.sort_array(F.collect_list(F.struct("_use", "_node"))).alias("_dealt"))
+    blocks = slices.drop("_slice").distinct()
+    shares = stored(quotas(blocks.select(*OWN, "_quota").distinct(), plan), "mix-quotas")
+    ready = slices.join(draws(blocks, shares), [*OWN, "_block"], "left")
+    rows = _keyed(docs, plan).join(
+        ready.select(*OWN, "_slice", "_block", "source_size", "target", "_room", "_dealt"),
+        [*OWN, "_slice"],
     )
-    ready = slices.join(dealt, [*OWN, "_block"], "left")
-    rows = _keyed(docs, plan).join(ready, [*OWN, "_slice"])
-    whole = rows.filter(F.col("_room").isNull()).withColumn("uses", F.col("_uses"))
-    inside = Window.partitionBy(*OWN, "_block").orderBy("_draw", "size", "doc_id", body_text())
+    whole = rows.filter(F.col("_room").isNull()).withColumn("_full", F.lit(True))
+    inside = Window.partitionBy(*OWN, "_block").orderBy("_draw", "size", "doc_id")
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     near = F.col("_upto") - F.col("size") / 2 <= F.col("_room")
+    # The last draw of a block that the target cuts is for its first documents.
     cut = (
         rows.filter(F.col("_room").isNotNull())
         .withColumn("_upto", upto)
-        .withColumn("uses", (F.col("_uses") + F.when(near, 1).otherwise(0)).cast("int"))
+        .withColumn("_full", near)
         .drop("_upto")
     )
-    shards = F.transform(
-        F.slice("_dealt", F.lit(1), F.col("uses")), lambda x: x["_node"].cast("int")
+    dealt = F.coalesce("_dealt", F.array().cast("array<int>"))
+    shards = F.when(F.col("_full"), dealt).otherwise(
+        F.slice(dealt, F.lit(1), F.greatest(F.size(dealt) - 1, F.lit(0)))
     )
     return (
         whole.unionByName(cut)
-        .withColumn("shards", F.coalesce(shards, F.array().cast("array<int>")))
+        .withColumn("shards", shards)
+        .withColumn("uses", F.size("shards"))
         .select(*docs.columns, "size", "source_size", "target", "uses", "shards", "_draw")
     )
 
@@ -206,9 +242,10 @@ def plan_mix(docs: DataFrame, plan: Plan = Plan()) -> DataFrame:
 def mix(docs: DataFrame, plan: Plan = Plan(), shuffled: bool = True) -> DataFrame:
     """The mix: a document once per use, with its ``shard``. ``shuffled`` brings
     a shard's rows together in random order, in its own partition range."""
-    rows = plan_mix(docs, plan).select(*docs.columns, "_draw", F.explode("shards").alias("shard"))
+    own, meanwhile = set_aside(docs, (*RESULT, *HELPERS))
+    rows = _planned(own, plan).select(*own.columns, "_draw", F.explode("shards").alias("shard"))
     order = F.xxhash64(F.lit(plan.seed), F.col("shard"), F.col("_draw"))
     if shuffled:
         rows = rows.withColumn("_order", order)
         rows = rows.repartitionByRange("shard", "_order").sortWithinPartitions("shard", "_order")
-    return rows.select(*docs.columns, "shard")
+    return given_back(rows, docs.columns, meanwhile, "shard")

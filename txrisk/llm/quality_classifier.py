@@ -175,18 +175,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
-    """Model from labelled and unlabelled rows that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | float:
+    """Model from labelled and unlabelled rows that are not held out. Without a
+    trusted positive or an unlabelled row it is the prior, as the score of all
+    texts; without a label that is one half."""
     known = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     good = known.filter(F.col("quality") == 1)
     n_known, n_good = known.count(), good.count()
     if not n_good:
-        return None
+        return 0.0 if n_known else 0.5
     order = F.xxhash64(F.lit(settings.seed), F.col("doc_id"))
     trusted = good.select("doc_id").distinct().orderBy(order, "doc_id").limit(settings.positives)
     usable = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text")
-    # At most ``positives`` ids, whatever the size of the corpus.
+    # At most ``positives`` ids, whatever the size of the corpus, and as many
+    # rows, however often an id is repeated.
     positive = usable.join(F.broadcast(trusted), "doc_id")
+    positive = positive.orderBy(order, F.xxhash64("text")).limit(settings.positives)
     total = usable.count()
     share = min(1.0, settings.unlabelled / max(1, total))
     drawn = usable.filter(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30)))
@@ -195,10 +199,15 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 
     def collected(rows: DataFrame) -> np.ndarray:
         found = figure_rows(rows, ["doc_id"]).select("figures").toArrow()
+        if not found.num_rows:
+            return np.empty((0, len(FIGURES)))
         flat = found.column(0).combine_chunks().flatten()
         return flat.to_numpy(zero_copy_only=False).reshape(-1, len(FIGURES))
 
-    return train(collected(positive), collected(drawn), n_good / n_known, settings)
+    prior, trusted_rows, drawn_rows = n_good / n_known, collected(positive), collected(drawn)
+    if not len(trusted_rows) or not len(drawn_rows):
+        return prior
+    return train(trusted_rows, drawn_rows, prior, settings)
 
 
 def classify(
@@ -211,7 +220,10 @@ def classify(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([figures(t.as_py()) for t in batch.column(1)])
-            score = model.score(rows.reshape(-1, len(FIGURES))) if model else np.full(len(rows), 0.5)
+            if isinstance(model, Model):
+                score = model.score(rows.reshape(-1, len(FIGURES)))
+            else:
+                score = np.full(len(rows), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(score, pa.float64())], names=["doc_id", "score"]
             )

@@ -12,12 +12,13 @@ next to which others, does not matter.
 
 Only built-in functions are used. Holders are first reduced by host, line and
 text, which spreads a line that a third of all documents hold over all tasks,
-and then counted before the shuffle by line; the join that finds the lines to remove is an inner join that adaptive
-execution can split.
+and then counted before the shuffle by line; the join that finds the lines to
+remove is an inner join that adaptive execution can split.
 
 Defined results: a NULL text is empty and a NULL source is the host ``""``;
 repeated rows are documents of their own, whose equal results they share; an
-empty table gives an empty result; other columns pass through.
+empty table gives an empty result; other columns pass through, but for those
+named like a column of the result, which is what is returned under that name.
 """
 
 from __future__ import annotations
@@ -27,7 +28,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import GAP_CHARS, bind, body_text, has_word, word_count, words
+from txrisk.llm.common import (
+    GAP_CHARS,
+    bind,
+    body_text,
+    given_back,
+    has_word,
+    set_aside,
+    word_count,
+    words,
+)
 
 
 @dataclass(frozen=True)
@@ -186,9 +196,21 @@ def frequent_lines(docs: DataFrame, limits: Limits) -> DataFrame:
     return held.join(hosts, "host").filter(above).select("host", "line")
 
 
+RESULT = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words",
+    "removed_lines", "base_failed", "kept",
+)
+HELPERS = ("_id", "_text", "_of_id", "_of_text", "_base")
+
+
 def quality_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Documents with the base figures, ``base_failed``, ``removed_lines`` (hashes
     of the lines to remove, NULL if none), ``removed_words`` and ``kept``."""
+    rows, meanwhile = set_aside(docs, (*RESULT, *HELPERS))
+    return given_back(_judged(rows, limits), docs.columns, meanwhile, *RESULT)
+
+
+def _judged(docs: DataFrame, limits: Limits) -> DataFrame:
     removed = (
         document_lines(docs)
         .join(frequent_lines(docs, limits), ["host", "line"])
@@ -228,7 +250,8 @@ def without_removed_lines(text: Column, removed: Column) -> Column:
 def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Kept documents, their lines above the limits removed. ``n_chars``, where
     the input has it, follows the new text."""
-    rows = quality_rules(docs, limits).filter("kept")
+    rows, meanwhile = set_aside(docs, (*RESULT, *HELPERS))
+    rows = _judged(rows, limits).filter("kept")
     cut = F.col("removed_words") > 0
     text = F.when(cut, without_removed_lines(F.col("text"), F.col("removed_lines"))).otherwise(
         F.col("text")
@@ -237,4 +260,4 @@ def kept_documents(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         rows = rows.withColumn("n_chars", F.when(cut, length).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return given_back(rows, docs.columns, meanwhile)

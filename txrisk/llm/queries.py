@@ -58,7 +58,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept",
+        "base_failed", "kept", F.col("removed_words").cast("bigint"),
     )
 
 
@@ -186,22 +186,19 @@ ORACLES: dict[str, str] = {
                 WHERE times > 1)
             GROUP BY doc_id
         ), lines AS (
-            SELECT doc_id, host, k, len({_WORDS.format("l")}) AS n,
+            SELECT doc_id, host, t, k, len({_WORDS.format("l")}) AS n,
                 regexp_replace(trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g'), ' '),
                     '[0-9]+', '0', 'g') AS line
-            FROM (SELECT doc_id, host, unnest(ls) AS l, unnest(range(len(ls))) AS k FROM texts)
+            FROM (SELECT doc_id, host, md5(t) AS t, unnest(ls) AS l,
+                unnest(range(len(ls))) AS k FROM texts)
         ), placed AS (
-            SELECT *, lag(line) OVER w AS above, lead(line) OVER w AS below,
-                row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth
-            FROM lines WINDOW w AS (PARTITION BY doc_id ORDER BY k)
+            SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY k) AS nth FROM lines
         ), holders AS (
-            SELECT host, line, count(*) AS n FROM (
-                SELECT DISTINCT host, line, above, below FROM placed WHERE nth = 1)
-            GROUP BY host, line
+            SELECT host, line, count(DISTINCT t) AS n FROM placed GROUP BY host, line
         ), hosts AS (SELECT host, count(*) AS n FROM texts GROUP BY host),
         frequent AS (
             SELECT host, line FROM holders h JOIN hosts s USING (host)
-            WHERE h.n > 20 AND h.n > 0.02 * s.n
+            WHERE h.n > 2 AND h.n > 0.02 * s.n
         ), removed AS (
             SELECT doc_id, sum(n) AS n FROM placed p JOIN frequent USING (host, line)
             WHERE nth = 1 GROUP BY doc_id
@@ -212,13 +209,14 @@ ORACLES: dict[str, str] = {
                     AS n_symbols,
                 CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
                 CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
-                coalesce(m.n, 0) AS removed_words
+                CAST(coalesce(m.n, 0) AS BIGINT) AS removed_words
             FROM texts LEFT JOIN repeated r USING (doc_id) LEFT JOIN removed m USING (doc_id)
         ), judged AS (
             SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
             FROM figures
         )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            removed_words,
             NOT base_failed AND NOT n_words - removed_words < 0.2 * n_words AS kept
         FROM judged""",
     "op11_filter_audit": f"""

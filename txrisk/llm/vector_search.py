@@ -165,12 +165,18 @@ def search(
         size, F.pmod(mixed, F.lit(trees)).cast("int").alias("tree"), every(blocks).alias("block"),
         "uid", "vec_id", "vector",
     )
+    # Columns of its own: with those of the other side, Spark would take a
+    # column that one side does not need from both.
     queries = vectors.filter("query").select(
-        size, every(trees).alias("tree"), F.pmod(mixed, F.lit(blocks)).cast("int").alias("block"),
-        "uid", "vec_id", "vector",
+        size.alias("q_size"), every(trees).alias("q_tree"),
+        F.pmod(mixed, F.lit(blocks)).cast("int").alias("q_block"),
+        F.col("uid").alias("q_uid"), F.col("vec_id").alias("query_id"),
+        F.col("vector").alias("query_vector"),
     )
     kind = rows.schema["vec_id"].dataType.simpleString()
 
+    asked_columns = ["q_uid", "query_id", "query_vector"]
+
     def find(queries: pd.DataFrame, candidates: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(candidates):
@@ -179,15 +185,14 @@ def search(
                 candidates["uid"].to_numpy(),
                 np.stack(candidates["vector"].to_list()).astype(np.int64),
             )
-            for uid, query_id, vector in zip(queries["uid"], queries["vec_id"], queries["vector"]):
+            for uid, query_id, vector in zip(*(queries[c] for c in asked_columns)):
                 query = np.asarray(vector, dtype=np.int64)
                 found += [(uid, query_id, i, score) for score, i in tree.top(uid, query, k)]
         return pd.DataFrame(found, columns=["uid", "query_id", "vec_id", "score"])
 
-    keys = ["size", "tree", "block"]
     found = (
-        queries.groupBy(*keys)
-        .cogroup(candidates.groupBy(*keys))
+        queries.groupBy("q_size", "q_tree", "q_block")
+        .cogroup(candidates.groupBy("size", "tree", "block"))
         .applyInPandas(find, f"uid bigint, query_id {kind}, vec_id {kind}, score bigint")
     )
     order = Window.partitionBy("uid").orderBy(F.desc("score"), "vec_id")
