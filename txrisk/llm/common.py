@@ -80,3 +80,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*spent: DataFrame) -> None:
+    """Delete the folders of ``stored`` rows that nothing will read again: what
+    was made of them must be stored itself."""
+    for rows in spent:
+        files = rows.inputFiles()
+        if files:
+            jvm = rows.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            settings = rows.sparkSession._jsc.hadoopConfiguration()
+            folder.getFileSystem(settings).delete(folder, True)

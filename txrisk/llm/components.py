@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import stored
+from txrisk.llm.common import discard, stored
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -41,8 +41,9 @@ def connected(links: DataFrame) -> DataFrame:
     links = stored(links.select(high, low).filter("u <> v").distinct(), "links")
     seen = _fingerprint(links)
     while True:
-        starred = _small_star(_large_star(links)).distinct()
-        links = stored(starred, "links")
+        spent = links
+        links = stored(_small_star(_large_star(links)).distinct(), "links")
+        discard(spent)
         now = _fingerprint(links)
         if now == seen:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))

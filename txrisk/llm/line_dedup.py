@@ -38,7 +38,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import body_text, given_back, has_word, set_aside, stored, word_count
+from txrisk.llm.common import (
+    body_text,
+    discard,
+    given_back,
+    has_word,
+    set_aside,
+    stored,
+    word_count,
+)
 
 MIN_WORDS = 50
 ROW = "_row"
@@ -197,12 +205,17 @@ def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = stored(shortest_runs(shared, min_words), "runs")
     longest = runs.agg(F.max("size")).first()[0] or 0
     ranks, length = shared.select(ROW, "pos", "at", "rank"), 1
-    copies = later_copies(runs, ranks, 1)
+    # Stored length by length: otherwise the plan grows with the rounds, and the
+    # ranks of all of them are kept.
+    copies = stored(later_copies(runs, ranks, 1), "copies-1")
     while 2 * length <= longest:
-        ranks = ranked(doubled(ranks, length), f"ranks-{2 * length}")
+        spent, ranks = ranks, ranked(doubled(ranks, length), f"ranks-{2 * length}")
         length *= 2
-        copies = copies.unionByName(later_copies(runs, ranks, length))
-    return joined_runs(copies)
+        discard(spent)
+        copies = copies.unionByName(stored(later_copies(runs, ranks, length), f"copies-{length}"))
+    deleted = stored(joined_runs(copies), "deleted-runs")
+    discard(runs, ranks)
+    return deleted
 
 
 def cut_lines(text: Column, deleted: Column) -> Column:

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import body_text, stored
+from txrisk.llm.common import body_text, discard, stored
 from txrisk.llm.components import connected
 
 
@@ -289,12 +289,34 @@ def spanning(i: np.ndarray, j: np.ndarray, quality: np.ndarray) -> np.ndarray:
     return np.array(chosen, int)
 
 
+# Pairs a task adds up at a time.
+HELD_PAIRS = 1_000_000
+
+
+def pair_counts(pairs: np.ndarray) -> pa.RecordBatch:
+    """Distinct columns (a, b, n_a, n_b) and how often each occurs."""
+    pairs = pairs[:, np.lexsort(pairs[:2])]
+    opens = np.r_[True, (pairs[:2, 1:] != pairs[:2, :-1]).any(axis=0)]
+    starts = np.flatnonzero(opens)
+    times = np.diff(np.r_[starts, pairs.shape[1]])
+    columns = [*pairs[:, starts], times]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns],
+        names=["a", "b", "n_a", "n_b", "times"],
+    )
+
+
 def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
-    """Pairs ``a`` < ``b`` of sets with their sizes, one row per block with a
-    surviving pair. ``rows`` has ``block`` keys x, y, z and set, n, point,
-    component and part. With ``forest`` a block gives a spanning forest of its
-    pairs, otherwise all between components. Blocks that fit on one page of the
-    tree are many, so a task compares the points of many such pages at once."""
+    """Pairs ``a`` < ``b`` of sets with their sizes and ``times``, in how many
+    blocks they survive; a pair may come in several rows. ``rows`` has ``block``
+    keys x, y, z and set, n, point, component and part, and ``near``. With
+    ``forest`` a block gives a spanning forest of its pairs, otherwise all
+    between components. Blocks that fit on one page of the tree are many, so a
+    task compares the points of many such pages at once.
+
+    Sets that share a text's passage share many blocks, whose smallest member
+    ``near`` is often the same. Blocks (or parts of them) go to tasks by it, and
+    a task adds up the pairs it has found before it hands them on."""
     keys, page = ["x", "y", "z"], 32
     columns = [*keys, "set", "n", "component", "part", "point"]
 
@@ -369,16 +391,25 @@ def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
                     continue
                 flip = block["set"][i] > block["set"][j]
                 a, b = np.where(flip, j, i), np.where(flip, i, j)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(block[c][k]) for c, k in (("set", a), ("set", b), ("n", a), ("n", b))],
-                    names=["a", "b", "n_a", "n_b"],
-                )
+                yield np.stack([block["set"][a], block["set"][b], block["n"][a], block["n"][b]])
+
+    def added_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for pairs in scan(batches):
+            held.append(pairs)
+            rows += pairs.shape[1]
+            if rows > HELD_PAIRS:
+                yield pair_counts(np.concatenate(held, axis=1))
+                held, rows = [], 0
+        if held:
+            yield pair_counts(np.concatenate(held, axis=1))
 
     return (
-        rows.select(*columns)
-        .repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInArrow(scan, "a bigint, b bigint, n_a bigint, n_b bigint")
+        rows.select("near", *columns)
+        .repartition("near", "y", "z")
+        .sortWithinPartitions("near", *keys)
+        .select(*columns)
+        .mapInArrow(added_up, "a bigint, b bigint, n_a bigint, n_b bigint, times bigint")
     )
 
 
@@ -390,7 +421,7 @@ def _sharing_enough(found: DataFrame, join: Join) -> DataFrame:
     sets has ``ceil(0.8 n) - 1`` shingles left; together they bound the overlap.
     """
     counted = found.groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")
+        F.sum("times").alias("_n"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b")
     )
     after = F.expr(f"({join.percent} * greatest(n_a, n_b) + 99) div 100 - 1")
     enough = (100 + join.percent) * (F.col("_n") + after) >= join.percent * (F.col("n_a") + F.col("n_b"))
@@ -420,9 +451,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, join: Join)
         .agg(F.lit(1))
         .select("text_id")
     )
-    texts = stored(texts, "wanted-texts")
-    small = texts.count() <= join.few
-    texts = F.broadcast(texts) if small else texts
+    texts_of = stored(texts, "wanted-texts")
+    small = texts_of.count() <= join.few
+    texts = F.broadcast(texts_of) if small else texts_of
     text = body_text()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,6 +476,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, join: Join)
         .dropDuplicates(["set"])
     )
     whole = stored(whole, "whole-sets")
+    discard(texts_of)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -459,12 +491,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, join: Join)
                 [batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["u", "v"]
             )
 
-    return (
+    linked = stored(
         pairs.join(whole.select(F.col("set").alias("a"), F.col("hashes").alias("_left")), "a")
         .join(whole.select(F.col("set").alias("b"), F.col("hashes").alias("_right")), "b")
         .select("a", "b", "_left", "_right")
-        .mapInArrow(verify, "u bigint, v bigint")
+        .mapInArrow(verify, "u bigint, v bigint"),
+        "verified",
     )
+    discard(whole)
+    return linked
 
 
 def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
@@ -498,14 +533,14 @@ def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         first.withColumn("y", F.explode(parts))
         .join(points, "set")
         .select(
-            F.col("shingle").alias("x"), "y", zero.alias("z"), "set", "n",
+            F.col("least").alias("near"), F.col("shingle").alias("x"), "y", zero.alias("z"), "set", "n",
             F.col("set").alias("component"), "part", "point",
         )
     )
     members = sets.select("set", "text_id")
     tried = _block_pairs(step_one, join, forest=True).select("a", "b").distinct()
     tried = stored(tried, "pairs")
-    links = stored(_verified(tried, docs, members, join), "verified")
+    links = _verified(tried, docs, members, join)
     found = connected(links)
 
     labelled = rows.join(found, rows["set"] == found["node"], "left").select(
@@ -525,12 +560,13 @@ def set_components(docs: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .join(points, "set")
         .select(
-            F.col("shingle").alias("x"), F.least(own, other).alias("y"),
+            F.col("least").alias("near"), F.col("shingle").alias("x"), F.least(own, other).alias("y"),
             F.greatest(own, other).alias("z"), "set", "n", "component", "part", "point",
         )
     )
     crossing = _sharing_enough(_block_pairs(step_two, join, forest=False), join)
     untried = stored(crossing.join(tried, ["a", "b"], "left_anti"), "pairs")
+    discard(rows, points, labelled, mixed, tried)
     if untried.isEmpty():
         return found
     more = _verified(untried, docs, members, join)

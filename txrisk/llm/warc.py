@@ -13,7 +13,9 @@ doubled from the start of the file. Candidates that the chain does not reach,
 such as a magic line inside a payload, are no records; their bytes belong to the
 record around them.
 
-A task holds one split's offsets. Payload digests are computed where the piece
+Written payloads are not moved where few of them occur more than once: the keys
+of those are broadcast behind a check of their number, and beyond it joined by
+shuffle. A task holds one split's offsets. Payload digests are computed where the piece
 is read, and only records that contain a magic line are put together by offset.
 Equal payloads are counted before the shuffle, and the joins are plain
 equalities that adaptive execution can split.
@@ -35,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import stored
+from txrisk.llm.common import discard, stored
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 _MAGIC_SIZE, _END_SIZE = len(MAGIC), len(END)
+# Repeated payloads whose keys are broadcast at most, some 100 bytes each.
+FEW_REPEATED = 200_000
 
 
 def payload_digest(payload: bytes) -> str:
@@ -70,7 +74,9 @@ def record_text(
     return MAGIC + "\r\n".join([*head, f"Content-Length: {0 if revisit else len(raw)}"]) + END + block
 
 
-def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
+def write_archive(
+    pages: DataFrame, path: str, min_bytes: int = 0, few: int = FEW_REPEATED
+) -> None:
     """Write the pages as archive files into the folder ``path``. Payloads of
     fewer than ``min_bytes`` bytes are all responses."""
     rows = pages.select(
@@ -78,10 +84,19 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
         "url",
         F.coalesce("html", F.lit("")).alias("payload"),
     ).withColumn("key", F.sha2(F.col("payload").cast("binary"), 256))
-    firsts = rows.groupBy("key").agg(F.max("page_id").alias("first"))
-    is_first = F.col("page_id").eqNullSafe(F.col("first"))
+    repeated = (
+        rows.groupBy("key")
+        .agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .drop("n")
+        .withColumn("repeated", F.lit(True))
+    )
+    repeated = stored(repeated, "warc-repeated")
+    if repeated.count() <= few:
+        repeated = F.broadcast(repeated)
+    is_first = F.col("repeated").isNull() | F.col("page_id").eqNullSafe(F.col("first"))
     revisit = ~is_first & (F.octet_length("payload") >= min_bytes)
-    typed = rows.join(firsts, "key").select(
+    typed = rows.join(repeated, "key", "left").select(
         "page_id", "url", "payload", "key", "first", revisit.alias("revisit")
     )
 
@@ -215,6 +230,7 @@ def reached_entries(found: DataFrame) -> DataFrame:
     )
     reached, jumps = stored(starts, "warc-reached"), stored(jumps, "warc-jumps")
     while not jumps.isEmpty():
+        spent = reached, jumps
         onward = reached.join(jumps, ["file", "at"]).select("file", F.col("leaves").alias("at"))
         reached = stored(reached.unionByName(onward).distinct(), "warc-reached")
         ahead = jumps.select("file", F.col("at").alias("leaves"), F.col("leaves").alias("_far"))
@@ -222,6 +238,7 @@ def reached_entries(found: DataFrame) -> DataFrame:
             jumps.join(ahead, ["file", "leaves"]).select("file", "at", F.col("_far").alias("leaves")),
             "warc-jumps",
         )
+        discard(*spent)
     return reached
 
 
