@@ -44,6 +44,10 @@ HELPERS = (
 )
 
 
+# Slices broadcast at most, some 100 bytes each.
+FEW_SLICES = 200_000
+
+
 @dataclass(frozen=True)
 class Plan:
     """``weights`` repeat over the sources in order; ``share`` is the mix's size
@@ -211,11 +215,14 @@ def _planned(docs: DataFrame, plan: Plan) -> DataFrame:
     slices = stored(_blocks(docs, plan), "mix-plan")
     blocks = slices.drop("_slice").distinct()
     shares = stored(quotas(blocks.select(*OWN, "_quota").distinct(), plan), "mix-quotas")
-    ready = slices.join(draws(blocks, shares), [*OWN, "_block"], "left")
-    rows = _keyed(docs, plan).join(
-        ready.select(*OWN, "_slice", "_block", "source_size", "target", "_room", "_dealt"),
-        [*OWN, "_slice"],
+    ready = slices.join(draws(blocks, shares), [*OWN, "_block"], "left").select(
+        *OWN, "_slice", "_block", "source_size", "target", "_room", "_dealt"
     )
+    ready = stored(ready, "mix-draws")
+    # One row per slice: unless sources are very many, texts stay where they are.
+    if ready.count() <= FEW_SLICES:
+        ready = F.broadcast(ready)
+    rows = _keyed(docs, plan).join(ready, [*OWN, "_slice"])
     whole = rows.filter(F.col("_room").isNull()).withColumn("_full", F.lit(True))
     inside = Window.partitionBy(*OWN, "_block").orderBy("_draw", "size", "doc_id")
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
