@@ -3,16 +3,16 @@
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql.types import StructType
 
 from txrisk.operators.repeats import once
+from txrisk.schemas import schema
 from txrisk.sources.messages import file_stream
 from txrisk.streaming.live import live_activity, read_minutes, start_minutes, windowed_rate
 
 START = datetime(2024, 5, 1, 12, 0)
 ROWS = "transaction_id string, kafka_partition int, kafka_offset bigint, ingested_at timestamp"
-RATE = StructType.fromDDL("minute timestamp, ticks bigint")
-ACTIVITY = StructType.fromDDL("minute timestamp, total bigint, fraud bigint")
+RATE = schema(minute="timestamp", ticks="long")
+ACTIVITY = schema(minute="timestamp", total="long", fraud="long")
 
 
 def at(minute, second=0):
