@@ -1,0 +1,92 @@
+"""What decides about a page's lines, and pages at the edges of ranges."""
+
+import random
+
+import pytest
+
+from txrisk.llm import html_text
+
+
+def prose(seed, n=30):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+def html(body):
+    return f"<!DOCTYPE html><html><head><title>t</title></head><body>{body}</body></html>"
+
+
+def texts(pages, partitions):
+    spark = pages.sparkSession
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        found = html_text.extract(pages)
+        return sorted((r.page_id is None, r.page_id or 0, r.url or "", r.text) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_texts_do_not_depend_on_the_partitions(spark):
+    frame = "<div>Welcome to us</div><div>{}</div><p>{}</p><div>Contact | Imprint</div>"
+    rows = [
+        (i, f"http://{host}/a/{i:04}", html(frame.format(f"Story {i}", prose(i))))
+        for i, host in ((i, "big.org" if i % 3 else f"small{i % 7}.org") for i in range(400))
+    ]
+    rows += [(1000 + k, "http://big.org/a/0200", rows[200][2]) for k in range(60)]  # copies
+    rows += [(None, "http://big.org/a/0031", html(frame.format("No id", prose(900))))]
+    rows += [rows[7], (2000, None, None), (2001, "no url", "")]
+    pages = spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING").repartition(5)
+    one = texts(pages, 1)
+    assert len(one) == len(rows)
+    assert (False, 31, "http://big.org/a/0031", f"Story 31 {prose(31)}") in one
+    assert texts(pages, 4) == one
+    assert texts(pages, 211) == one
+
+
+def test_empty_table_and_clashing_columns(spark):
+    shape = "page_id BIGINT, url STRING, html STRING, text STRING, _range INT, _host STRING, _id INT"
+    pages = spark.createDataFrame([], shape)
+    found = html_text.extract(pages)
+    assert found.columns == ["page_id", "url", "text", "n_chars"] and found.collect() == []
+    pages = spark.createDataFrame([(1, "http://h/1", html("<p>Körper"), "x", 3, "y", 9)], shape)
+    assert [tuple(r) for r in html_text.extract(pages).collect()] == [(1, "http://h/1", "Körper", 6)]
+
+
+def test_shared_lines_at_the_edge_of_articles_go_and_unshared_ones_beside_stay():
+    def page(k, teaser=""):
+        return html_text.parse(html(
+            f"<div>Our site</div><article><p>Tell a friend</p><p>{prose(k)}</p><p>Quoted by all</p>"
+            f"<p>{prose(k + 50)}</p><p>Printed on paper</p></article>{teaser}"
+        ))
+
+    near = [page(1), page(3)]
+    # the quotation inside stays, the lines at both ends go
+    assert html_text.main_text(page(2), near, 0.8) == f"{prose(2)} Quoted by all {prose(52)}"
+    # one neighbour alone does not take lines from an article
+    found = html_text.main_text(page(2), near[:1], 0.8)
+    assert found.startswith("Tell a friend") and found.endswith("Printed on paper")
+    # a teaser card is an article element too; the body stands beside it
+    def body(k):
+        return html_text.parse(html(
+            f"<div>Our site</div><article>Read {k} more</article><p>{prose(k, 200)}</p><div>Imprint</div>"
+        ))
+
+    assert html_text.main_text(body(2), [body(1), body(3)], 0.8) == f"Read 2 more {prose(2, 200)}"
+    # a short line beside an article is not the article
+    assert prose(9) not in html_text.main_text(page(2, f"<p>{prose(9)}</p>"), near, 0.8)
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<article><h2 id='related-work'>Related work</h2><p>Text", "Related work Text"),
+        ("<article><p>A<section class='social-policy'>Body of section</section>", "A Body of section"),
+        ("<article><section id='search'><h3>Search</h3>How to</section>", "Search How to"),
+        ("<article><h2 class='banner'>Flags</h2><div class='cookie-banner'>Eat</div>", "Flags"),
+        ("<article><p>A</article><div id=comments>Me!</div><div class='siteFooter'>B</div>", "A"),
+        ("<article><p>A<div class='x ad-slot'>Buy</div><ul class=relatedPosts><li>C</ul>", "A"),
+    ],
+)
+def test_marks_are_whole_names(source, text):
+    assert html_text.main_text(html_text.parse(html(source)), [], 0.8) == text

@@ -4,29 +4,36 @@ Pages are sorted by host and URL path, so that a page's neighbours are the pages
 with the nearest URLs of its host. The lines (text blocks) of a page are aligned
 with those of both neighbours by longest common subsequence, and lines in the
 alignment are deleted: what nearby pages share in order is their template.
-Landmarks of the markup help where two pages show too little: lines in menus,
-forms, adverts and the like go even if no neighbour has them, and lines inside
-an article element stay, because articles may share a sentence.
+Landmarks of the markup settle what the alignment leaves open. Lines in menus,
+forms, adverts and the like go even if no neighbour has them. Inside an article
+element a shared line goes only in the run of lines at the element's start or
+end that the neighbours on both sides share, because articles may share a
+sentence. Beside an article element the unshared lines stay if they are more
+text than the article's own; otherwise the element holds the article.
 
 A neighbour with nearly the same text is a copy or another version, says
 nothing about the template and is passed over for the next nearest page of the
 host. What the two do not share tells versions from short texts on one template.
 
-A range shuffle by host, path and id spreads a large host over many tasks; a
-page at the edge of a range has one neighbour or none. A task holds some pages
-before the last, the pages of a run of versions, each line of which it keeps
-once, and the ids of a run of copies. Alignments need memory linear in the lines.
+Ranges of host, path and id spread a large host over many tasks. Their bounds
+come from the keys alone, and the pages at the edges of a range are also given
+to the range beside it, so that a page has its neighbours however many ranges
+there are; only a run of more versions than ``HALO`` over an edge misses the
+pages beyond the run. A task holds some pages before the last, the pages of a
+run of versions, each line of which it keeps once, and the ids of a run of
+copies. Alignments need memory linear in the lines.
 
 Defined results: a NULL page has the empty text; a URL that is NULL or not a URL
-counts as host "" ; repeated rows are pages of their own with equal texts; an
-empty table gives an empty result.
+counts as host "" ; repeated rows are pages of their own with equal texts; pages
+with one path are ordered by page_id; an empty table gives an empty result; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -48,7 +55,8 @@ DROPPED = frozenset(
     "head nav footer aside form fieldset button select option datalist dialog menu audio video"
     " canvas label output progress".split()
 )
-# Words of a class, id or role that mark a part as no article text.
+# Names of a class, id or role that mark a part as no article text, alone or
+# joined with each other and with FRAME words ("cookie-banner", "site-footer").
 DROPPED_MARKS = frozenset(
     "ad ads adv advert advertisement advertising sponsor sponsored promo promotion banner cookie"
     " cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe"
@@ -56,6 +64,13 @@ DROPPED_MARKS = frozenset(
     " footer comment comments discussion disqus replies related recommended share sharing social"
     " widget skip search login".split()
 )
+FRAME = frozenset(
+    "area bar block body bottom box btn button buttons col column container content desktop entries"
+    " entry fixed form global group header icons inner item items left link links list main mobile"
+    " outer page panel placeholder post posts primary right row secondary section site slot sticky"
+    " story stories thread top unit wrap wrapper".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 CORE = frozenset(["article", "main"])
 CORE_ROLES = frozenset(["main", "article"])
 
@@ -63,7 +78,7 @@ TAG_NAME = re.compile(r"/?([A-Za-z][^\s/>]*)")
 TAG_END = re.compile(r"[^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+>")
 MARKS = re.compile(r"(?:^|[\s\"'])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:[\s=/>]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*\"[^\"]*display\s*:\s*none)", re.I)
-MARK_WORD = re.compile(r"[A-Za-z]+")
+MARK_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 OPEN, IN_CORE, IN_DROPPED = 0, 1, 2
 
@@ -71,6 +86,8 @@ OPEN, IN_CORE, IN_DROPPED = 0, 1, 2
 ALIKE = 0.5
 # Pages that are kept before the last, each no version of the next.
 STEPS = 8
+# Pages at each edge of a range that the range beside it is given too.
+HALO = 8
 
 
 @dataclass
@@ -85,22 +102,32 @@ class Page:
         return sum(map(len, self.lines))
 
 
+def _marked(name: str) -> bool:
+    """Whether a class, id or role names a part that is no article text."""
+    found = {w.lower() for w in MARK_WORD.findall(name)}
+    return bool(found & DROPPED_MARKS) and found <= DROPPED_MARKS | FRAME
+
+
 def _region(name: str, attributes: str, above: int) -> int:
-    """Region of an element from its name and attributes and its parent's."""
+    """Region of an element from its name and attributes and its parent's.
+    Headings are never dropped by name, nor parts of an article by their ids,
+    which are made from headings."""
     if above == IN_DROPPED:
         return above
-    marks: set[str] = set()
-    roles: set[str] = set()
-    for kind, value in MARKS.findall(attributes) if "=" in attributes else ():
-        found = {w.lower() for w in MARK_WORD.findall(value)}
-        marks |= found
-        if kind.lower() == "role":
-            roles |= found
     # The page's own frame is never dropped whole because of a class.
     framing = name in ("html", "body") or name in CORE
+    marked = False
+    roles: set[str] = set()
+    for kind, value in MARKS.findall(attributes) if "=" in attributes else ():
+        names = value.strip("\"'").split()
+        kind = kind.lower()
+        if kind == "role":
+            roles.update(x.lower() for x in names)
+        if not framing and name not in HEADINGS and (kind != "id" or above != IN_CORE):
+            marked = marked or any(map(_marked, names))
     if name in DROPPED or (name == "header" and above != IN_CORE):
         return IN_DROPPED
-    if not framing and marks & DROPPED_MARKS:
+    if marked:
         return IN_DROPPED
     if attributes and HIDDEN.search(attributes) and not framing:
         return IN_DROPPED
@@ -278,31 +305,62 @@ def template_lines(page: Page, other: Page, copy_share: float) -> set[int] | Non
     return None if both > copy_share * size else shared
 
 
-def kept_text(page: Page, template: set[int]) -> str:
-    has_core = IN_CORE in page.regions
-    kept = [
-        line
-        for i, (line, region) in enumerate(zip(page.lines, page.regions))
-        if region == IN_CORE or (region == OPEN and i not in template and not has_core)
-    ]
-    return " ".join(kept)
+def _edge_runs(page: Page, both: set[int]) -> set[int]:
+    """Places in the runs at the start and the end of the page's article
+    elements that lie in ``both`` whole. An article keeps some line."""
+    core = [i for i, region in enumerate(page.regions) if region == IN_CORE]
+    if both.issuperset(core):
+        return set()
+    found: set[int] = set()
+    for places in (core, core[::-1]):
+        for i in places:
+            if i not in both:
+                break
+            found.add(i)
+    return found
+
+
+def kept_text(page: Page, before: set[int] | None, after: set[int] | None) -> str:
+    """The page's text without the lines it shares with the neighbour before and
+    after it; None where there is none. Without either, landmarks decide alone."""
+    template = (before or set()) | (after or set())
+    gone = _edge_runs(page, before & after) if before and after else set()
+    core, beside = [], []
+    for i, (line, region) in enumerate(zip(page.lines, page.regions)):
+        if region == IN_CORE and i not in gone:
+            core.append((i, line))
+        elif region == OPEN and i not in template:
+            beside.append((i, line))
+
+    def size(lines: list[tuple[int, str]]) -> int:
+        return sum(len(line) for _, line in lines)
+
+    compared = before is not None or after is not None
+    if not core or (compared and size(beside) > size(core)):
+        core = sorted(core + beside)
+    return " ".join(line for _, line in core)
 
 
 def main_text(page: Page, neighbours: list[Page], copy_share: float) -> str:
-    """The page's lines without those shared with its neighbours."""
-    found = (template_lines(page, other, copy_share) for other in neighbours)
-    return kept_text(page, set().union(*(places or () for places in found)))
+    """The page's text as the pages before and after it tell it."""
+    shared = [template_lines(page, other, copy_share) for other in neighbours]
+    return kept_text(page, *(shared + [None, None])[:2])
 
 
 @dataclass
 class Entry:
-    """A page, the ids of its run of copies, the lines found to be template, and
-    the nearest page before it that is no version of it."""
+    """A page, the ids of its run of copies, the nearest page before it that is
+    no version of it, and the lines shared with that and with the one after."""
 
     page: Page
     ids: list[tuple]
-    template: set[int] = field(default_factory=set)
     before: Entry | None = None
+    shared_before: set[int] | None = None
+    shared_after: set[int] | None = None
+
+    @property
+    def text(self) -> str:
+        return kept_text(self.page, self.shared_before, self.shared_after)
 
 
 class Neighbourhood:
@@ -327,7 +385,7 @@ class Neighbourhood:
         while last:
             places = template_lines(page, last.page, self.copy_share)
             if places is not None:
-                entry.template, entry.before = places, last
+                entry.shared_before, entry.before = places, last
                 break
             last = last.before
         done = []
@@ -339,7 +397,7 @@ class Neighbourhood:
                 if places is None:
                     rest.append(waits)
                 else:
-                    waits.template |= places
+                    waits.shared_after = places
                     done.append(waits)
             self.waiting = rest
             if not rest:
@@ -359,43 +417,140 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.lower(F.regexp_extract(known, pattern, 1)), F.regexp_extract(known, pattern, 2)
 
 
+Key = tuple[str, str, int | None]
+
+
+@dataclass
+class Range:
+    """Some pages in a row: their number, and the first and last of their keys."""
+
+    count: int
+    first: list[Key]
+    last: list[Key]
+
+    def joined(self, other: Range) -> Range:
+        first = (self.first + other.first)[:HALO] if self.count < HALO else self.first
+        last = (self.last + other.last)[-HALO:] if other.count < HALO else other.last
+        return Range(self.count + other.count, first, last)
+
+
+def ranges(keys: DataFrame, order: list[str], n: int) -> list[Range]:
+    """At most ``n`` ranges of the sorted keys, none shorter than four halos if
+    there are that many pages. The driver gets ``2 * HALO`` keys of each."""
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, first, last = 0, [], deque(maxlen=HALO)
+        for rows in batches:
+            count += rows.num_rows
+            first += rows.slice(0, HALO - len(first)).to_pylist()
+            last.extend(rows.slice(max(0, rows.num_rows - HALO)).to_pylist())
+        if count:
+            yield pa.RecordBatch.from_pylist(
+                [{"count": count, "first": first, "last": list(last)}], schema=shape
+            )
+
+    kinds = keys.select(*order).schema
+    listed = f"array<{kinds.simpleString()}>"
+    key = pa.struct([(c, pa.string()) for c in order[:2]] + [(order[2], pa.int64())])
+    shape = pa.schema([("count", pa.int64()), ("first", pa.list_(key)), ("last", pa.list_(key))])
+    found = (
+        keys.select(*order)
+        .repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(edges, f"count bigint, first {listed}, last {listed}")
+        .collect()
+    )
+    whole: list[Range] = []
+    for row in sorted(found, key=lambda r: _sortable(r["first"][0])):
+        part = Range(row["count"], list(map(tuple, row["first"])), list(map(tuple, row["last"])))
+        if whole and min(whole[-1].count, part.count) < 4 * HALO:
+            whole[-1] = whole[-1].joined(part)
+        else:
+            whole.append(part)
+    return whole
+
+
+def _sortable(key: Key) -> tuple:
+    """Strings as bytes and NULLs first, as Spark sorts them."""
+    host, path, page_id = key
+    return host.encode(), path.encode(), page_id is not None, page_id or 0
+
+
 def extract(pages: DataFrame, copy_share: float = 0.8) -> DataFrame:
     """page_id, url, text and n_chars per page. For versions and ``copy_share``
     see :func:`template_lines`."""
+    spark = pages.sparkSession
     host, path = host_and_path(F.col("url"))
-    order = ["_host", "_path", "page_id"]
-    rows = (
-        pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
-        .withColumns({"_host": host, "_path": path})
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .select("page_id", "url", "html", "_host")
+    order = ["_host", "_path", "_id"]
+    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
+    rows = rows.withColumns({"_host": host, "_path": path, "_id": F.col("page_id").cast("bigint")})
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = ranges(rows, order, n)
+
+    def keys(listed: list[Key]) -> Column:
+        shape = "array<struct<_host:string,_path:string,_id:bigint>>"
+        values = [F.struct(*(F.lit(v).alias(c) for v, c in zip(k, order))) for k in listed]
+        return F.array(*values).cast(shape)
+
+    key = F.struct(*order)
+    # A page at an edge also goes to the range beside its own.
+    home = F.size(F.filter(keys([p.first[0] for p in parts[1:]]), lambda first: first <= key))
+    starts = keys([p.first[-1] for p in parts])
+    ends = keys([p.last[0] for p in parts])
+    placed = rows.withColumn("_home", home).withColumn(
+        "_range",
+        F.explode(
+            F.filter(
+                F.array(
+                    F.when((F.col("_home") > 0) & (key <= F.get(starts, "_home")), F.col("_home") - 1),
+                    F.col("_home"),
+                    F.when(
+                        (F.col("_home") < len(parts) - 1) & (key >= F.get(ends, "_home")),
+                        F.col("_home") + 1,
+                    ),
+                ),
+                lambda r: r.isNotNull(),
+            )
+        ),
+    )
+    dealt = (
+        placed.repartitionById(n, "_range")
+        .sortWithinPartitions("_range", *order)
+        .select("page_id", "url", "html", "_host", "_range", "_home")
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near = Neighbourhood(copy_share)
-        current_host = None
+        current = None
         key_type = pa.int64()
 
-        def batch(entry: Entry) -> pa.RecordBatch:
-            text = kept_text(entry.page, entry.template)
-            keys, urls = zip(*entry.ids)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, key_type), pa.array(urls, pa.string()), pa.array([text] * len(keys))],
-                names=["page_id", "url", "text"],
-            )
+        def batch(entry: Entry) -> Iterator[pa.RecordBatch]:
+            own = [(key, url) for key, url, home in entry.ids if home]
+            if own:
+                found, urls = zip(*own)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(found, key_type),
+                        pa.array(urls, pa.string()),
+                        pa.array([entry.text] * len(own), pa.string()),
+                    ],
+                    names=["page_id", "url", "text"],
+                )
 
         for rows in batches:
             key_type = rows.schema.field(0).type
-            for key, url, source, host in zip(*rows.columns):
-                host = host.as_py()
-                if host != current_host:
-                    yield from map(batch, near.waiting)
-                    near, current_host = Neighbourhood(copy_share), host
-                done = near.add(parse(source.as_py()), (key.as_py(), url.as_py()))
-                yield from map(batch, done)
-        yield from map(batch, near.waiting)
+            for key, url, source, host, part, home in zip(*rows.columns):
+                place = (part.as_py(), host.as_py())
+                if place != current:
+                    for entry in near.waiting:
+                        yield from batch(entry)
+                    near, current = Neighbourhood(copy_share), place
+                known = (key.as_py(), url.as_py(), home.as_py() == place[0])
+                for entry in near.add(parse(source.as_py()), known):
+                    yield from batch(entry)
+        for entry in near.waiting:
+            yield from batch(entry)
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    found = rows.mapInArrow(scan, f"page_id {kind}, url string, text string")
+    found = dealt.mapInArrow(scan, f"page_id {kind}, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
