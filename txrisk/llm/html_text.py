@@ -5,11 +5,10 @@ with the nearest URLs of its host. The lines (text blocks) of a page are aligned
 with those of both neighbours by longest common subsequence, and lines in the
 alignment are deleted: what nearby pages share in order is their template.
 Landmarks of the markup settle what the alignment leaves open. Lines in menus,
-forms, adverts and the like go even if no neighbour has them. Inside an article
-element a shared line goes only in the run of lines at the element's start or
-end that the neighbours on both sides share, because articles may share a
-sentence. Beside an article element the unshared lines stay if they are more
-text than the article's own; otherwise the element holds the article.
+forms, adverts and the like go even if no neighbour has them. Lines inside an
+article element stay, because articles may share a sentence, often their first.
+Beside an article element the unshared lines stay if they are more text than
+the article's own; otherwise the element holds the article.
 
 A neighbour with nearly the same text is a copy or another version, says
 nothing about the template and is passed over for the next nearest page of the
@@ -305,29 +304,13 @@ def template_lines(page: Page, other: Page, copy_share: float) -> set[int] | Non
     return None if both > copy_share * size else shared
 
 
-def _edge_runs(page: Page, both: set[int]) -> set[int]:
-    """Places in the runs at the start and the end of the page's article
-    elements that lie in ``both`` whole. An article keeps some line."""
-    core = [i for i, region in enumerate(page.regions) if region == IN_CORE]
-    if both.issuperset(core):
-        return set()
-    found: set[int] = set()
-    for places in (core, core[::-1]):
-        for i in places:
-            if i not in both:
-                break
-            found.add(i)
-    return found
-
-
 def kept_text(page: Page, before: set[int] | None, after: set[int] | None) -> str:
     """The page's text without the lines it shares with the neighbour before and
     after it; None where there is none. Without either, landmarks decide alone."""
     template = (before or set()) | (after or set())
-    gone = _edge_runs(page, before & after) if before and after else set()
     core, beside = [], []
     for i, (line, region) in enumerate(zip(page.lines, page.regions)):
-        if region == IN_CORE and i not in gone:
+        if region == IN_CORE:
             core.append((i, line))
         elif region == OPEN and i not in template:
             beside.append((i, line))
