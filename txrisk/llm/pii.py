@@ -4,28 +4,32 @@ Regular expressions propose spans, validators confirm them (Luhn for cards,
 mod 97 for account numbers, value ranges for the others) and context words near
 a span adjust its score. Four base kinds are accepted on pattern and validator
 alone. Further kinds, whose patterns also match innocent numbers, start from a
-lower score and are kept only with a valid checksum or a fitting word nearby.
+lower score and are kept only with a valid checksum or a fitting word nearby;
+those of :mod:`secrets` are credentials, addresses and identity numbers.
 
 Each text is scanned whole and on its own in batches, so nothing is shuffled and
 memory is bounded by one batch.
 
 Defined results: a NULL text is empty; repeated rows are scanned alike; an empty
-table gives an empty result; of the other columns the caller chooses.
+table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from txrisk.llm import secrets
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 # Kinds in the order in which spans with one start are listed.
-KINDS = (*BASE_KINDS, "iban", "ssn", "local_phone")
+KINDS = (*BASE_KINDS, "iban", "ssn", "local_phone", *secrets.FINDERS)
 
 LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -59,9 +63,10 @@ CONTEXT = {
     "ssn": {"ssn", "social", "security", "insurance", "taxpayer"},
     "local_phone": {"phone", "tel", "telephone", "call", "mobile", "fax", "telefon", "téléfono",
                     "téléphone", "teléfono"},
+    **secrets.CONTEXT,
 }
 WINDOW = 48
-PATTERN_SCORE = {"iban": 0.3, "ssn": 0.35, "local_phone": 0.35}
+PATTERN_SCORE = {"iban": 0.3, "ssn": 0.35, "local_phone": 0.35, **secrets.PATTERN_SCORE}
 CHECKSUM_BONUS = 0.5
 CONTEXT_BONUS = 0.4
 ACCEPT = 0.7
@@ -161,21 +166,41 @@ def iban_spans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def free(spans: Iterable[Span], taken: list[Span]) -> list[Span]:
+    """The spans that overlap none of those taken."""
+    blocked: list[list[int]] = []  # apart from each other, in order
+    for start, end in sorted((s.start, s.end) for s in taken):
+        if blocked and start <= blocked[-1][1]:
+            blocked[-1][1] = max(end, blocked[-1][1])
+        else:
+            blocked.append([start, end])
+    ends = [end for _, end in blocked]
+
+    def overlaps(span: Span) -> bool:
+        at = bisect_left(ends, span.start + 1)  # the first that ends after its start
+        return at < len(blocked) and blocked[at][0] < span.end
+
+    return [s for s in spans if not overlaps(s)]
+
+
 def scored_spans(text: str, taken: list[Span]) -> list[Span]:
     """Spans of the further kinds whose score reaches the limit and that do not
-    overlap a base span."""
-    blocked = sorted((s.start, s.end) for s in taken)
-    found = []
+    overlap a base span, nor, for the kinds of ``secrets``, one found before."""
     proposed = (
-        ("iban", iban_spans(text), CHECKSUM_BONUS),
-        ("ssn", (m.span() for m in SSN.finditer(text) if _valid_ssn(m[0])), 0.0),
-        ("local_phone", (m.span() for m in LOCAL_PHONE.finditer(text)), 0.0),
+        ("iban", ((*span, CHECKSUM_BONUS) for span in iban_spans(text))),
+        ("ssn", ((*m.span(), 0.0) for m in SSN.finditer(text) if _valid_ssn(m[0]))),
+        ("local_phone", ((*m.span(), 0.0) for m in LOCAL_PHONE.finditer(text))),
+        *((kind, find(text)) for kind, find in secrets.FINDERS.items()),
     )
-    for kind, spans, bonus in proposed:
-        for start, end in spans:
+    found: list[Span] = []
+    for kind, spans in proposed:
+        accepted = []
+        for start, end, bonus in spans:
             score = PATTERN_SCORE[kind] + context_score(kind, text, start, end) + bonus
-            if score >= ACCEPT and not any(a < end and start < b for a, b in blocked):
-                found.append(Span(kind, start, end, min(1.0, score)))
+            if score >= ACCEPT:
+                accepted.append(Span(kind, start, end, min(1.0, score)))
+        if accepted:
+            found += free(accepted, taken + found if kind in secrets.FINDERS else taken)
     return found
 
 
@@ -184,7 +209,7 @@ _DIGIT = re.compile(r"[0-9]")
 
 def find_spans(text: str | None) -> list[Span]:
     """All spans of a text by start, then kind. Offsets are code points."""
-    if not text or ("@" not in text and not _DIGIT.search(text)):
+    if not text or not ("@" in text or "-----BEGIN " in text or _DIGIT.search(text)):
         return []
     base = base_spans(text)
     return sorted(
@@ -194,13 +219,13 @@ def find_spans(text: str | None) -> list[Span]:
 
 SCHEMA = (
     "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string,"
-    " spans string, scores array<double>"
+    " spans string, n_spans bigint, scores array<double>"
 )
 
 
 def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row its key, counts of the base kinds, a digest of the base spans,
-    all spans as ``kind:start:end`` joined by commas, and their scores."""
+    all spans as ``kind:start:end`` joined by commas, their number and scores."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,9 +242,10 @@ def personal_data(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
                     *counts,
                     pa.array(digest, pa.string()),
                     pa.array([",".join(map(str, s)) for s in found], pa.string()),
+                    pa.array(map(len, found), pa.int64()),
                     pa.array([[s.score for s in spans] for spans in found], pa.list_(pa.float64())),
                 ],
-                names=[key, *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "scores"],
+                names=[key, *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_spans", "scores"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
