@@ -130,7 +130,7 @@ def ipv6(text: str) -> Iterator[Proposal]:
         except ValueError:
             continue
         groups = sum(map(bool, found.split(":")))
-        if address.is_unspecified or not groups:
+        if address.is_unspecified or not any(c.isdigit() for c in found):
             continue
         # two short groups are as likely names of a program's parts
         yield m.start(), m.start() + len(found), STRONG if groups >= 3 else WEAK
