@@ -110,6 +110,28 @@ def test_tree_bound_loses_no_pair():
         assert sorted(tree.survivors(points[i], sizes[i], i)) == want.tolist()
 
 
+@pytest.mark.parametrize("groups", [1, 2, 8, 64])
+def test_bounds_by_groups_hold_above_a_byte(groups):
+    draw = np.random.default_rng(groups)
+    whole = draw.integers(0, 1 << 63, 6000).astype(np.uint64)
+    sets = [np.unique(draw.choice(whole, n)) for n in (5, 300, 2000, 4000, 9000, 9000)]
+    sizes = np.array([len(s) for s in sets])
+    points = ngram_join.Points.of(np.stack([ngram_join.counts(s, groups) for s in sets]), sizes)
+    folded = points.coordinates(4)
+    assert (folded.sum(axis=1) == sizes).all()
+    for i, j in combinations(range(len(sets)), 2):
+        bound = points.bound(i, j)
+        tree_bound = np.minimum(folded[i], folded[j]).sum()
+        assert len(np.intersect1d(sets[i], sets[j])) <= bound <= tree_bound <= min(sizes[i], sizes[j])
+
+
+def test_long_texts_above_a_byte_are_brute_force(documents):
+    base = text_of(7, 1200)
+    rows = [(k, edited(base, *range(0, 1200, 1200 // (8 * k + 1)))) for k in range(9)]
+    found = ngram_join.ngram_join(documents(rows), ngram_join.Join(groups=2)).drop("text_id")
+    assert sorted(map(tuple, found.collect()), key=str) == brute_components(rows)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(1, 40)] + [(50, 51), (60, 60)]
     found = connected(spark.createDataFrame(chain, "u BIGINT, v BIGINT"))

@@ -10,7 +10,10 @@ that share one form a block. Inside a block every set is a point: its shingles
 are hashed into groups and the counts per group are its coordinates. The sum of
 coordinate minima bounds the intersection, and an R-tree over the points, whose
 pages keep the largest coordinates and the range of sizes, finds the points
-whose bound reaches the 80 %. Pairs that survive are verified on the whole sets.
+whose bound reaches the 80 %. The tree adds up ``fold`` groups to a coordinate;
+what it finds is bounded again by the single groups. A count is a byte; what is
+above 255 goes, summed over the groups, to one further coordinate, so that the
+bound holds for sets of any size. Pairs that survive are verified on the whole sets.
 
 What is asked for are components, so no block is expanded into all its pairs:
 
@@ -52,13 +55,15 @@ from txrisk.llm.components import connected
 
 @dataclass(frozen=True)
 class Join:
-    """``percent`` of the union that the intersection must have. ``first`` is
-    how many shared shingles of a document step 1 looks at, ``frequent`` how many
-    shingles are put last, ``few`` how many ids may be broadcast."""
+    """``percent`` of the union that the intersection must have. ``fold`` of the
+    ``groups`` make a coordinate of the tree. ``first`` is how many shared
+    shingles of a document step 1 looks at, ``frequent`` how many shingles are
+    put last, ``few`` how many ids may be broadcast."""
 
     percent: int = 80
     shingle: int = 5
-    groups: int = 64
+    groups: int = 256
+    fold: int = 4
     first: int = 3
     block: int = 2048
     frequent: int = 100_000
@@ -109,7 +114,36 @@ def set_id(hashes: np.ndarray) -> int:
 
 
 def counts(hashes: np.ndarray, groups: int) -> np.ndarray:
-    return np.bincount((hashes >> np.uint64(17)) % np.uint64(groups), minlength=groups).astype("<u4")
+    """Shingles per group, at most 255."""
+    found = np.bincount((hashes >> np.uint64(17)) % np.uint64(groups), minlength=groups)
+    return np.minimum(found, 255).astype(np.uint8)
+
+
+@dataclass(frozen=True)
+class Points:
+    """Counts per group and, in ``above``, the shingles that no count holds.
+    With n shingles, ``above`` is n less the sum of the counts."""
+
+    counts: np.ndarray
+    above: np.ndarray
+
+    @staticmethod
+    def of(counts: np.ndarray, sizes: np.ndarray) -> Points:
+        return Points(counts, sizes - counts.sum(axis=1, dtype=np.int64))
+
+    def take(self, rows: np.ndarray | slice) -> Points:
+        return Points(self.counts[rows], self.above[rows])
+
+    def coordinates(self, fold: int) -> np.ndarray:
+        """``fold`` groups added up to each coordinate, and ``above`` as the last."""
+        starts = np.arange(0, self.counts.shape[1], fold)
+        folded = np.add.reduceat(self.counts, starts, axis=1, dtype=np.uint32)
+        return np.column_stack([folded, self.above.astype(np.uint32)])
+
+    def bound(self, i: np.ndarray | int, j: np.ndarray | int) -> np.ndarray:
+        """At least the intersections of the sets i with the sets j."""
+        both = np.minimum(self.counts[i], self.counts[j]).sum(axis=-1, dtype=np.int64)
+        return both + np.minimum(self.above[i], self.above[j])
 
 
 def frequent_shingles(docs: DataFrame, join: Join) -> np.ndarray:
@@ -221,16 +255,25 @@ class RTree:
         return at
 
 
-def forest_pairs(tree: RTree) -> list[tuple[int, int]]:
+def reaching(
+    points: Points, sizes: np.ndarray, i: int, near: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Those of ``near`` that the bound by single groups leaves, and that bound."""
+    bound = points.bound(near, i)
+    fits = (100 + percent) * bound >= percent * (sizes[near] + sizes[i])
+    return near[fits], bound[fits]
+
+
+def forest_pairs(tree: RTree, fine: Points) -> list[tuple[int, int]]:
     """A spanning forest of the surviving pairs: each point with the best match
     in every component it meets."""
     label = np.arange(len(tree.sizes))
     found = []
     for i in range(1, len(label)):
         near = tree.survivors(tree.points[i], tree.sizes[i], i)
+        near, overlap = reaching(fine, tree.sizes, i, near, tree.percent)
         if not len(near):
             continue
-        overlap = np.minimum(tree.points[near], tree.points[i]).sum(axis=1, dtype=np.int64)
         quality = overlap / (tree.sizes[near] + tree.sizes[i] - overlap)
         order = np.argsort(-quality, kind="stable")
         roots, first = np.unique(label[near[order]], return_index=True)
@@ -241,7 +284,7 @@ def forest_pairs(tree: RTree) -> list[tuple[int, int]]:
 
 
 def crossing_pairs(
-    tree: RTree, component: np.ndarray, part: np.ndarray, two_parts: bool
+    tree: RTree, fine: Points, component: np.ndarray, part: np.ndarray, two_parts: bool
 ) -> list[tuple[int, int]]:
     """Surviving pairs between components. Of two different parts, pairs inside
     one are left to the task where that part meets itself."""
@@ -251,6 +294,7 @@ def crossing_pairs(
         near = near[component[near] != component[i]]
         if two_parts:
             near = near[part[near] != part[i]]
+        near, _ = reaching(fine, tree.sizes, i, near, tree.percent)
         found += [(i, int(j)) for j in near]
     return found
 
@@ -337,8 +381,8 @@ def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
         if rest is not None:
             yield rest
 
-    def small(block: dict[str, np.ndarray], points: np.ndarray, first: np.ndarray) -> list:
-        n, found = block["n"], []
+    def small(block: dict[str, np.ndarray], fine: Points, first: np.ndarray) -> list:
+        n, found, points = block["n"], [], fine.coordinates(join.fold)
         for i, j in page_pairs(first):
             fits = 100 * np.minimum(n[i], n[j]) >= join.percent * np.maximum(n[i], n[j])
             if not forest:
@@ -347,6 +391,9 @@ def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
             i, j = i[fits], j[fits]
             bound = np.minimum(points[i], points[j]).sum(axis=1, dtype=np.int64)
             fits = (100 + join.percent) * bound >= join.percent * (n[i] + n[j])
+            i, j = i[fits], j[fits]
+            bound = fine.bound(i, j)
+            fits = (100 + join.percent) * bound >= join.percent * (n[i] + n[j])
             i, j, bound = i[fits], j[fits], bound[fits]
             if forest:
                 chosen = spanning(i, j, bound / (n[i] + n[j] - bound))
@@ -354,12 +401,12 @@ def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
             found.append((i, j))
         return found
 
-    def large(block: dict[str, np.ndarray], points: np.ndarray) -> list:
-        tree = RTree(points, block["n"], join.percent, page)
+    def large(block: dict[str, np.ndarray], fine: Points) -> list:
+        tree = RTree(fine.coordinates(join.fold), block["n"], join.percent, page)
         if forest:
-            return forest_pairs(tree)
+            return forest_pairs(tree, fine)
         two_parts = bool(block["y"][0] != block["z"][0])
-        return crossing_pairs(tree, block["component"], block["part"], two_parts)
+        return crossing_pairs(tree, fine, block["component"], block["part"], two_parts)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -373,17 +420,18 @@ def _block_pairs(rows: DataFrame, join: Join, forest: bool) -> DataFrame:
             starts = np.flatnonzero(opens)
             members = np.diff([*starts, len(opens)])
             fine = np.repeat(members <= page, members)
-            points = np.frombuffer(b"".join(block["point"]), "<u4").reshape(len(opens), -1)
+            groups = np.frombuffer(b"".join(block["point"]), np.uint8).reshape(len(opens), -1)
+            points = Points.of(groups, block["n"])
             short = members[members <= page]
             first = np.repeat(np.cumsum(short) - short, short)
             at = np.flatnonzero(fine)
             found = [
                 (at[i], at[j])
-                for i, j in small({c: v[fine] for c, v in block.items()}, points[fine], first)
+                for i, j in small({c: v[fine] for c, v in block.items()}, points.take(fine), first)
             ]
             for start, count in zip(starts[members > page], members[members > page]):
                 part = slice(start, start + count)
-                pairs = large({c: v[part] for c, v in block.items()}, points[part])
+                pairs = large({c: v[part] for c, v in block.items()}, points.take(part))
                 if pairs:
                     found.append(tuple(start + np.array(pairs).T))
             for i, j in found:
