@@ -1,0 +1,73 @@
+"""The risk that the classifier minimises, its gradient, and the estimated prior."""
+
+import numpy as np
+import pytest
+
+from txrisk.llm import quality_classifier as q
+
+
+def samples(seed, n_good, n_drawn, prior):
+    """Trusted positives, and unlabelled rows of which ``prior`` are positive."""
+    draw = np.random.default_rng(seed)
+    hidden = draw.random(n_drawn) < prior
+    good = draw.normal(0, 1, (n_good, 3))
+    drawn = np.where(hidden[:, None], draw.normal(0, 1, (n_drawn, 3)), draw.normal(3, 1, (n_drawn, 3)))
+    return good, drawn, hidden
+
+
+def by_hand(weights, at_p, at_u, prior):
+    def mean_loss(rows, sign):
+        margins = [sum(weights[k] for k in row) + weights[-1] for row in rows]
+        return np.mean([np.log(1 + np.exp(-sign * m)) for m in margins])
+
+    return prior * mean_loss(at_p, 1), mean_loss(at_u, -1) - prior * mean_loss(at_p, -1)
+
+
+@pytest.mark.parametrize("prior", [0.2, 0.9])
+def test_risks_and_gradients(prior):
+    draw = np.random.default_rng(3)
+    at_p, at_u = draw.integers(0, 4, (7, 2)) + [0, 4], draw.integers(0, 4, (11, 2)) + [0, 4]
+    weights = draw.normal(0, 1, 9)
+    found = q.risks(weights, at_p, at_u, prior)
+    assert [r for r, _ in found] == pytest.approx(by_hand(weights, at_p, at_u, prior))
+    for part, (_, slope) in enumerate(found):
+        for k in range(9):
+            step = np.eye(9)[k] * 1e-5
+            up = by_hand(weights + step, at_p, at_u, prior)[part]
+            down = by_hand(weights - step, at_p, at_u, prior)[part]
+            assert slope[k] == pytest.approx((up - down) / 2e-5, abs=1e-6)
+
+
+def test_steps_turn_where_the_hidden_risk_is_negative():
+    at = np.array([[0, 2], [1, 3]])
+    other = np.array([[0, 2], [0, 2]])
+    weights = np.array([-1.0, 4.0, -1.0, 4.0, 0.0])
+    (_, good_slope), (hidden, hidden_slope) = q.risks(weights, at, other, 0.9)
+    assert hidden < 0
+    assert (q.non_negative(weights, at, other, 0.9) == -hidden_slope).all()
+    (_, good_slope), (hidden, hidden_slope) = q.risks(weights, at, at, 0.5)
+    assert hidden > 0
+    assert (q.non_negative(weights, at, at, 0.5) == good_slope + hidden_slope).all()
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.6, 0.9])
+def test_prior_is_estimated_without_negative_labels(prior):
+    good, drawn, _ = samples(int(prior * 10), 3000, 6000, prior)
+    assert q.class_prior(good, drawn) == pytest.approx(prior, abs=0.06)
+
+
+def test_prior_of_next_to_nothing():
+    one = np.zeros((1, 3))
+    assert q.class_prior(one, one) == 1
+    same = np.zeros((50, 3))
+    assert q.class_prior(same, same) == 1
+    assert 0 < q.class_prior(same[:2], same[:2] + 5) <= 1
+
+
+def test_learnt_scores_and_intercept():
+    good, drawn, hidden = samples(5, 2000, 6000, 0.6)
+    model = q.train(good, drawn, q.class_prior(good, drawn))
+    score = model.score(drawn)
+    assert ((score >= 0.5) == hidden).mean() > 0.97
+    # scores are chances: on the whole as many positives as there are
+    assert score.mean() == pytest.approx(hidden.mean(), abs=0.06)

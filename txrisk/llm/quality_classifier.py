@@ -5,7 +5,15 @@ model. It is learnt from unlabelled documents, which hold a share ``prior`` of
 positives: the risk of calling them negative, minus ``prior`` times that risk on
 the positives, estimates the risk on the hidden negatives. An estimate below
 zero only shows overfitting, so such steps go the other way (non-negative
-risk). The prior is the share of good rows among the labelled training rows.
+risk).
+
+The prior is estimated from the same two samples, without a negative label. A
+first model tells trusted positives from unlabelled rows, and scores those that it
+was not trained on, in turns (``folds``). The share of unlabelled rows that score
+at least t, divided by that of the positives, is at least the prior for each t,
+and near it where hardly any negative scores that high; the t with the least
+ratio, widened by what chance may add in samples of these sizes, gives the
+estimate. It errs towards 1 where samples are small (some hundred rows).
 
 A document is described by figures of its whole text. Each is cut into ranges
 at quantiles of the training sample, and the model is additive over ranges, so
@@ -17,13 +25,14 @@ Scoring is one pass without a shuffle over every document. Labels, language,
 source and ids are never inputs of a score.
 
 Defined results: a NULL or empty text is scored as a text without words; rows
-without a doc_id are held out; without labels the score is the prior 0.5; of a
+without a doc_id are held out; where nothing can be learnt (no text of a trusted
+positive, no unlabelled row) all texts get one score, 0.5 without labels; of a
 repeated label any row counts; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,17 +45,18 @@ from txrisk.llm.common import body_text
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the two training samples, ranges per figure, and training. A
-    score of one half is where the share ``missed`` of trusted positives lies
-    below."""
+    """Bounds of the two training samples, ranges per figure, and training.
+    Weights are held back by ``decay`` over the number of positives; ``doubt`` is
+    the chance that the bound behind the prior may miss."""
 
     positives: int = 16_000
     unlabelled: int = 32_000
     ranges: int = 24
     steps: int = 400
-    rate: float = 0.05
-    decay: float = 1e-4
-    missed: float = 0.005
+    rate: float = 0.2
+    decay: float = 0.1
+    folds: int = 5
+    doubt: float = 0.1
     seed: int = 7
 
 
@@ -131,44 +141,114 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def train(
-    positive: np.ndarray, unlabelled: np.ndarray, prior: float, settings: Settings = Settings()
-) -> Model:
-    """Minimise the non-negative unbiased risk with logistic loss (Adam, all
-    rows in each step)."""
-    both = np.concatenate([positive, unlabelled])
-    levels = np.linspace(0, 1, settings.ranges + 1)[1:-1]
-    cuts = np.quantile(both, levels, axis=0).T
-    size = cuts.shape[0] * (cuts.shape[1] + 1)
-    model = Model(cuts, np.zeros(size), 0.0, prior)
-    at_p, at_u = model.ranges(positive), model.ranges(unlabelled)
-    weights, bias = np.zeros(size + 1), size
-    first, second = np.zeros(size + 1), np.zeros(size + 1)
+def mean_slopes(at: np.ndarray, slopes: np.ndarray, size: int) -> np.ndarray:
+    """Gradient of the mean loss, whose slope by each row's margin is given. The
+    last weight is the intercept."""
+    flat = np.bincount(at.ravel(), np.repeat(slopes, at.shape[1]), minlength=size)
+    flat[-1] = slopes.sum()
+    return flat / len(at)
+
+
+def risks(
+    weights: np.ndarray, at_p: np.ndarray, at_u: np.ndarray, prior: float
+) -> tuple[tuple[float, np.ndarray], tuple[float, np.ndarray]]:
+    """Logistic risk of the positives and estimated risk of the hidden negatives,
+    each with its gradient."""
+    margin_p = weights[at_p].sum(axis=1) + weights[-1]
+    margin_u = weights[at_u].sum(axis=1) + weights[-1]
+    good_p, good_u = 1 / (1 + np.exp(-margin_p)), 1 / (1 + np.exp(-margin_u))
+    size = len(weights)
+    called_good = prior * np.logaddexp(0, -margin_p).mean()
+    hidden = np.logaddexp(0, margin_u).mean() - prior * np.logaddexp(0, margin_p).mean()
+    hidden_slope = mean_slopes(at_u, good_u, size) - prior * mean_slopes(at_p, good_p, size)
+    return (
+        (called_good, prior * mean_slopes(at_p, good_p - 1, size)),
+        (hidden, hidden_slope),
+    )
+
+
+def separating(weights: np.ndarray, at_p: np.ndarray, at_u: np.ndarray) -> np.ndarray:
+    """Gradient of the risk of telling positives from unlabelled rows."""
+    good_p = 1 / (1 + np.exp(-(weights[at_p].sum(axis=1) + weights[-1])))
+    good_u = 1 / (1 + np.exp(-(weights[at_u].sum(axis=1) + weights[-1])))
+    size = len(weights)
+    return (mean_slopes(at_p, good_p - 1, size) + mean_slopes(at_u, good_u, size)) / 2
+
+
+def non_negative(
+    weights: np.ndarray, at_p: np.ndarray, at_u: np.ndarray, prior: float
+) -> np.ndarray:
+    """Where to step for the non-negative unbiased risk."""
+    (_, good_slope), (hidden, hidden_slope) = risks(weights, at_p, at_u, prior)
+    return good_slope + hidden_slope if hidden >= 0 else -hidden_slope
 
-    def gradient(at: np.ndarray, slopes: np.ndarray) -> np.ndarray:
-        flat = np.bincount(at.ravel(), np.repeat(slopes, at.shape[1]), minlength=size + 1)
-        flat[bias] = slopes.sum()
-        return flat / len(at)
 
+def descended(
+    size: int, slope_at: Callable[[np.ndarray], np.ndarray], settings: Settings, positives: int
+) -> np.ndarray:
+    """Weights and intercept by Adam, with all rows in each step: the mean over the
+    second half of the steps, since those of the non-negative risk go to and fro."""
+    decay = settings.decay / positives
+    weights, first, second, total = (np.zeros(size) for _ in range(4))
     for step in range(1, settings.steps + 1):
-        good_p = 1 / (1 + np.exp(-(weights[at_p].sum(axis=1) + weights[bias])))
-        margin_u = weights[at_u].sum(axis=1) + weights[bias]
-        good_u = 1 / (1 + np.exp(-margin_u))
-        # risks of calling the rows negative, and what the hidden negatives have
-        as_negative_p = -np.log(np.maximum(1 - good_p, 1e-12)).mean()
-        as_negative_u = -np.log(np.maximum(1 - good_u, 1e-12)).mean()
-        hidden = gradient(at_u, good_u) - prior * gradient(at_p, good_p)
-        if as_negative_u - prior * as_negative_p >= 0:
-            slope = prior * gradient(at_p, good_p - 1) + hidden
-        else:
-            slope = -hidden
-        slope[:bias] += settings.decay * weights[:bias]
+        slope = slope_at(weights)
+        slope[:-1] += decay * weights[:-1]
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         scale = np.sqrt(second / (1 - 0.999**step)) + 1e-8
         weights = weights - settings.rate * (first / (1 - 0.9**step)) / scale
-    margin = weights[at_p].sum(axis=1)
-    return Model(cuts, weights[:size], -float(np.quantile(margin, settings.missed)), prior)
+        if 2 * step > settings.steps:
+            total += weights
+    return total / (settings.steps - settings.steps // 2)
+
+
+def untrained(positive: np.ndarray, unlabelled: np.ndarray, settings: Settings) -> Model:
+    """Ranges at the quantiles of the rows, without weights."""
+    levels = np.linspace(0, 1, settings.ranges + 1)[1:-1]
+    cuts = np.quantile(np.concatenate([positive, unlabelled]), levels, axis=0).T
+    return Model(cuts, np.zeros(cuts.shape[0] * (cuts.shape[1] + 1)), 0.0, 1.0)
+
+
+def least_ratio(score_p: np.ndarray, score_u: np.ndarray, doubt: float) -> float:
+    """Largest share of positives among the unlabelled rows that their scores
+    allow, chance considered."""
+    limits = np.unique(score_p)
+    share_p = 1 - np.searchsorted(np.sort(score_p), limits) / len(score_p)
+    share_u = 1 - np.searchsorted(np.sort(score_u), limits) / len(score_u)
+    chance = sum(np.sqrt(np.log(4 / doubt) / (2 * len(s))) for s in (score_p, score_u))
+    best = np.argmin((share_u + chance) / share_p)
+    return float(min(1.0, max(share_u[best], 1 / len(score_u)) / share_p[best]))
+
+
+def class_prior(
+    positive: np.ndarray, unlabelled: np.ndarray, settings: Settings = Settings()
+) -> float:
+    """Estimated share of positives among the unlabelled rows. With a single row
+    of either kind nothing speaks against 1."""
+    if min(len(positive), len(unlabelled)) < 2:
+        return 1.0
+    model = untrained(positive, unlabelled, settings)
+    at_p, at_u = model.ranges(positive), model.ranges(unlabelled)
+    size, folds = len(model.weights) + 1, min(settings.folds, len(positive), len(unlabelled))
+    turn_p, turn_u = np.arange(len(at_p)) % folds, np.arange(len(at_u)) % folds
+    score_p, score_u = np.empty(len(at_p)), np.empty(len(at_u))
+    for turn in range(folds):
+        own_p, own_u = at_p[turn_p != turn], at_u[turn_u != turn]
+        weights = descended(size, lambda w: separating(w, own_p, own_u), settings, len(own_p))
+        score_p[turn_p == turn] = weights[at_p[turn_p == turn]].sum(axis=1) + weights[-1]
+        score_u[turn_u == turn] = weights[at_u[turn_u == turn]].sum(axis=1) + weights[-1]
+    return least_ratio(score_p, score_u, settings.doubt)
+
+
+def train(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, settings: Settings = Settings()
+) -> Model:
+    """Minimise the non-negative unbiased risk with logistic loss."""
+    model = untrained(positive, unlabelled, settings)
+    at_p, at_u = model.ranges(positive), model.ranges(unlabelled)
+    size = len(model.weights) + 1
+    weights = descended(size, lambda w: non_negative(w, at_p, at_u, prior), settings, len(at_p))
+    return Model(model.cuts, weights[:-1], float(weights[-1]), prior)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -177,8 +257,8 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | float:
     """Model from labelled and unlabelled rows that are not held out. Without a
-    trusted positive or an unlabelled row it is the prior, as the score of all
-    texts; without a label that is one half."""
+    trusted positive or an unlabelled row it is one score for all texts: the share
+    of good rows among the labelled ones, without a label one half."""
     known = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     good = known.filter(F.col("quality") == 1)
     n_known, n_good = known.count(), good.count()
@@ -204,9 +284,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         flat = found.column(0).combine_chunks().flatten()
         return flat.to_numpy(zero_copy_only=False).reshape(-1, len(FIGURES))
 
-    prior, trusted_rows, drawn_rows = n_good / n_known, collected(positive), collected(drawn)
+    trusted_rows, drawn_rows = collected(positive), collected(drawn)
     if not len(trusted_rows) or not len(drawn_rows):
-        return prior
+        return n_good / n_known
+    prior = class_prior(trusted_rows, drawn_rows, settings)
     return train(trusted_rows, drawn_rows, prior, settings)
 
 
