@@ -68,6 +68,20 @@ def test_rate_of_an_empty_stream(spark, place):
     assert run_rate(spark, place)[1] == []
 
 
+def test_state_is_worked_on_by_a_task_per_partition(spark, place):
+    """The stateful step keeps its partitions, and few figures give one file."""
+    put(spark, place("in"), *[(i, i, 0) for i in range(100)])
+    query, minutes = run_rate(spark, place)
+    assert minutes == [(i, 1) for i in range(100)]
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(str(query.runId))]
+    stages = [tracker.getStageInfo(s) for job in jobs for s in job.stageIds]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(s.numTasks for s in stages if s) == partitions > 1
+    written = spark.read.parquet(f"{place('out')}/batch_id=0").inputFiles()
+    assert len(written) == 1
+
+
 def run_once(spark, place, within):
     query = (
         once(stream(spark, place("in")), within)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from txrisk.operators.matching import ID
 from txrisk.operators.repeats import TIME, once
-from txrisk.streaming.job import TRIGGER
+from txrisk.streaming.job import TRIGGER, write_tasks
 
 MINUTE = "1 minute"
 # How far rows may lag behind the newest one.
@@ -78,10 +78,19 @@ def start_minutes(
 ) -> StreamingQuery:
     """Keep per-minute figures in files under ``path``. A batch holds the
     minutes it changed (``update``) or closed (``append``, which joins need) and
-    replaces its own directory if it is written again."""
+    replaces its own directory if it is written again.
+
+    The batch is held before its few files are written: merged at once, all
+    partitions of the state would be worked through, and held, by one task."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        rows = rows.persist()
+        try:
+            n = rows.count()
+            files = rows.coalesce(write_tasks(n, n))
+            files.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return (
