@@ -241,3 +241,21 @@ def test_observed_sizes_are_reported(spark):
     assert batch_id == 7
     assert {n: f["rows"] for n, f in got.items()} == routing.sizes(parsed(spark))
     assert Tables(*got.values()).dlq_messages["untimed"] == 0
+
+
+def test_many_minutes_are_written_by_several_tasks(spark, root):
+    """60,000 different minutes are more than one task should write."""
+    minutes = F.timestamp_seconds(F.col("kafka_offset") * 60)
+    rows = parsed(spark).limit(1).drop("kafka_offset").crossJoin(
+        spark.range(60_000).toDF("kafka_offset")
+    )
+    rows = rows.withColumns({"ingested_at": minutes, "user_id": F.lit("user_1")})
+    rows = rows.withColumn("amount", F.lit(10_000.0))
+    told = Ledger(spark, root).count(rows, 0, [("LARGE", "amount > 9000")])
+    assert {name: figures["rows"] for name, figures in told.items()} == {
+        "transactions": 60_000, "fraud_alerts": 60_000
+    }
+    stored = read_table(spark, root, MINUTES)
+    assert stored.agg(F.sum("n"), F.count("n")).first() == (120_000, 120_000)
+    a_day = stored.filter("ingest_date = DATE'1970-01-02'")
+    assert len(a_day.inputFiles()) > 1

@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 
 from txrisk.operators.matching import ID
 from txrisk.operators.repeats import TIME, once
-from txrisk.streaming.job import TRIGGER, write_tasks
+from txrisk.streaming.job import TRIGGER
+from txrisk.streaming.sinks import write_tasks
 
 MINUTE = "1 minute"
 # How far rows may lag behind the newest one.
