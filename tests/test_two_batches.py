@@ -42,3 +42,13 @@ def test_a_half_is_one_batch_of_several_files(spark, in_parts):
     assert got == {(name, batch, PARTS * n) for name, batch, n in once}
     assert {batch for _, batch, _ in got} == {0}
     assert files_of(in_parts, "messages") == 2 * PARTS
+
+
+def test_a_delivery_is_one_batch_of_several_files(spark, in_parts):
+    """The four files hold the same messages, and each is delivered twice."""
+    build = CASES["ext_02_guarded_tables"][0]
+    got = {r.table_name: r.n for r in build(in_parts).collect()}
+    valid = in_parts.valid.select("kafka_offset").distinct().count()
+    whole = in_parts.parsed.select("kafka_offset").distinct().count()
+    assert (got["transactions"], got["dlq_messages"]) == (valid, whole - valid)
+    assert files_of(in_parts, "messages") == 2 * PARTS
