@@ -65,3 +65,32 @@ def test_score_is_the_sum_of_the_ranges(spark):
     rows = np.array([[-1.0, 5.5], [2.0, 9.0], [0.0, 0.0]])
     margins = [0.0 + 0.4 + 0.3, 0.2 + 0.5 + 0.3, 0.1 + 0.3 + 0.3]
     assert model.score(rows) == pytest.approx(1 / (1 + np.exp(-np.array(margins))))
+
+
+def test_figures_are_taken_where_the_texts_are_read(spark, monkeypatch):
+    """No task gets the texts of a whole sample: before, one task took the figures
+    of all texts of either sample."""
+    tasks, samples = [], []
+    taken = quality_classifier.figure_rows
+
+    def watched(rows, keys):
+        tasks.append(rows.rdd.getNumPartitions())
+        return taken(rows, keys)
+
+    monkeypatch.setattr(quality_classifier, "figure_rows", watched)
+    monkeypatch.setattr(quality_classifier, "train", lambda p, u, *_: samples.append((p, u)) or 0.25)
+    ids = in_training(spark, 60)
+    texts = {i: f"Text {i} " * (i % 7 + 1) for i in ids}
+    docs, labels = tables(spark, texts.items(), [(i, 1) for i in ids[:40]])
+    # a table of unknown size, so that no limit is left out
+    docs = docs.repartition(6).withColumn("text", F.explode(F.array("text")))
+    assert fit(docs, labels, Settings(positives=30)) == 0.25
+    assert tasks == [6, 6]
+    order = spark.createDataFrame([(i,) for i in ids[:40]], "doc_id BIGINT").orderBy(
+        F.xxhash64(F.lit(Settings.seed), "doc_id")
+    )
+    first = [r.doc_id for r in order.limit(30).collect()]
+    [(positive, unlabelled)] = samples
+    assert positive.tolist() == [quality_classifier.figures(texts[i]) for i in first]
+    expected = [quality_classifier.figures(t) for t in texts.values()]
+    assert sorted(unlabelled.tolist()) == sorted(expected)

@@ -268,17 +268,21 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     trusted = good.select("doc_id").distinct().orderBy(order, "doc_id").limit(settings.positives)
     usable = docs.filter(~held_out(F.col("doc_id"))).select("doc_id", "text")
     # At most ``positives`` ids, whatever the size of the corpus, and as many
-    # rows, however often an id is repeated.
-    positive = usable.join(F.broadcast(trusted), "doc_id")
-    positive = positive.orderBy(order, F.xxhash64("text")).limit(settings.positives)
+    # rows, however often an id is repeated. Figures are taken where the texts
+    # are read: one task sorts or limits figures only, not the sample's texts.
+    positive = usable.join(F.broadcast(trusted), "doc_id").select(
+        order.alias("place"), F.xxhash64("text").alias("text_hash"), "text"
+    )
+    positive = figure_rows(positive, ["place", "text_hash"])
+    positive = positive.orderBy("place", "text_hash").limit(settings.positives)
     total = usable.count()
     share = min(1.0, settings.unlabelled / max(1, total))
     drawn = usable.filter(F.pmod(order, F.lit(1 << 30)) < int(share * (1 << 30)))
     # The draw varies a little in size; the limit only bounds it.
-    drawn = drawn.limit(2 * settings.unlabelled)
+    drawn = figure_rows(drawn, ["doc_id"]).limit(2 * settings.unlabelled)
 
     def collected(rows: DataFrame) -> np.ndarray:
-        found = figure_rows(rows, ["doc_id"]).select("figures").toArrow()
+        found = rows.select("figures").toArrow()
         if not found.num_rows:
             return np.empty((0, len(FIGURES)))
         flat = found.column(0).combine_chunks().flatten()
